@@ -224,7 +224,8 @@ def roc_auc(scored: DataFrame, label: str = "is_anomaly", probability: str = "pr
     return carried.agg(
         F.try_divide(
             F.sum(F.col("_wins") + F.col("_pos") * F.col("_carry")), F.sum("_pos").cast("double") * F.sum("_neg")
-        ).alias("roc_auc")
+        ).alias("roc_auc"),
+        F.sum(F.col("_pos") + F.col("_neg")).alias("n_rows"),
     )
 
 
@@ -235,7 +236,7 @@ def evaluate(scored: DataFrame, label: str = "is_anomaly") -> DataFrame:
         F.lit(None).cast("double").alias("precision"),
         F.lit(None).cast("double").alias("recall"),
         F.col("roc_auc").alias("f1"),
-        F.lit(None).cast("bigint").alias("support"),
+        F.col("n_rows").alias("support"),
     )
     return classification_report(scored, label).unionByName(auc).withColumnsRenamed({"f1": "score"})
 

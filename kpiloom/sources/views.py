@@ -183,7 +183,15 @@ ANSWERS = {
     "execution_answers": EXECUTION_ANSWERS,
     "learning_answers": LEARNING_ANSWERS,
 }
-ON_KPI = {"kpi_dirty": KPI_DIRTY, "proposals": PROPOSALS, "learnings": LEARNINGS, **ANSWERS}
+# A stand-in score for operators that work on any scored table.
+SCORED = """
+SELECT *, CASE WHEN probability > 5e-1 THEN 1 ELSE 0 END AS prediction
+FROM (
+  SELECT *, CASE WHEN is_anomaly THEN ((event_id * 37) % 60) * 1e-2 + 3e-1
+                 ELSE ((event_id * 53) % 60) * 1e-2 END AS probability
+  FROM {kpi}) s
+"""
+ON_KPI = {"scored": SCORED, "kpi_dirty": KPI_DIRTY, "proposals": PROPOSALS, "learnings": LEARNINGS, **ANSWERS}
 
 
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
