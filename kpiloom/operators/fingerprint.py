@@ -58,7 +58,7 @@ def deviations(rows: DataFrame, baselines: DataFrame, keys: list[str],
 
 def top_deviations(signals: Column | str = "deviations", k: int = fv.TOP_SIGNALS) -> Column:
     """The k largest deviations by absolute value; ties keep metric order."""
-    ranked = F.array_sort(
+    ranked = F.sort_array(
         F.transform(
             E.col(signals),
             lambda s: F.struct((-F.abs(s["delta_pct"])).alias("rank"), s["ord"].alias("ord"), s.alias("s")),
@@ -96,7 +96,7 @@ def top_attributions(contributions: dict[str, Column], k: int = fv.TOP_ATTRIBUTI
         )
     )
     return F.transform(
-        F.slice(F.array_sort(entries), 1, k),
+        F.slice(F.sort_array(entries), 1, k),
         lambda r: F.struct(
             r["metric"].alias("metric"),
             F.lit(None).cast("double").alias("value"),

@@ -61,10 +61,10 @@ def similar_cases(cases: DataFrame, learnings: DataFrame, k: int = 3) -> DataFra
 
     Learnings of one shape tie, so its k oldest stand for all of it.
     """
-    shape = F.array_sort(F.array_distinct(F.coalesce("signals", F.array().cast("array<string>"))))
+    shape = F.sort_array(F.array_distinct(F.coalesce("signals", F.array().cast("array<string>"))))
     shaped_cases = cases.select("case_id", shape.alias("signals"), "cause")
     case_shapes = stage(shaped_cases.select("signals", "cause").distinct(), "case-shapes")
-    signature = F.array_sort(F.array_distinct(F.coalesce("signature", F.array().cast("array<string>"))))
+    signature = F.sort_array(F.array_distinct(F.coalesce("signature", F.array().cast("array<string>"))))
     oldest = stage(
         first_per_group(
             learnings.select(

@@ -14,8 +14,6 @@ from kpiloom import fixed_values as fv
 from kpiloom.functions import expr as E
 from kpiloom.functions import json_text as J
 
-SIGNAL_ITEM = "struct<metric:string,value:double,baseline:double,delta_pct:double,dir:string>"
-
 
 def parsed(responses: DataFrame, mode: str = "object", text: str = "text") -> DataFrame:
     """Adds ``json``: the answer's JSON as a variant, NULL when it does not parse."""

@@ -121,10 +121,6 @@ def plan_actions(spark, d):
 
 # ---- answers -------------------------------------------------------------------------------
 
-def _hit(mode: str):
-    return f"SELECT case_id, {body_sql('text', mode)} AS body FROM "
-
-
 @query("extract_json", check_sql(
     " UNION ALL ".join(
         f"SELECT case_id, '{v}' AS source, '{m}' AS mode, {body_sql('text', m)} AS body FROM {v}"
@@ -241,10 +237,11 @@ def diagnosis_or_rule(spark, d):
 def signals_or_rule(spark, d):
     rows = features.anomalies(kpi_r(spark, d))
     profiled = fingerprint.deviation_array(rows, baselines(spark, d))
-    top = fingerprint.top_deviations("deviations")
-    rule = profiled.select(
-        F.col("event_id").alias("case_id"), top.cast(f"array<{responses_item()}>").alias("signals")
+    top = F.transform(
+        fingerprint.top_deviations("deviations"),
+        lambda s: F.struct(*[s[k].alias(k) for k in fv.REQUIRED_SIGNAL_KEYS]),
     )
+    rule = profiled.select(F.col("event_id").alias("case_id"), top.alias("signals"))
     answers = responses.signal_response(views.view(spark, d, "signal_answers"))
     out = responses.coalesce_response(rule, answers, "signals")
     listed = F.transform("signals", lambda s: F.concat(s["metric"], F.lit("="), E.one_decimal(s["value"])))
@@ -259,8 +256,9 @@ def signals_or_rule(spark, d):
     "execution_answers", "proposals", ans=answers_sql("execution_answers")))
 def execution_answers(spark, d):
     # Proposals of a case are a short list (at most three here), as in any plan.
+    listed = F.collect_list(F.struct("pos", F.col("action_id").alias("id"), "params"))
     actions = _proposals(spark, d).groupBy("case_id").agg(
-        F.sort_array(F.collect_list(F.struct("pos", F.col("action_id").alias("id"), "params"))).alias("actions")
+        F.array_sort(listed, lambda a, b: a["pos"] - b["pos"]).alias("actions")
     )
     answers = views.view(spark, d, "execution_answers").join(actions, "case_id")
     out = responses.execution_response(answers, "actions")
@@ -318,10 +316,6 @@ def learning_answers(spark, d):
     )
 
 
-def responses_item() -> str:
-    return responses.SIGNAL_ITEM
-
-
 # ---- request payloads ----------------------------------------------------------------------
 
 def _from(column: str, path: str, as_type: str | None = None):
