@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kpiloom import fixed_values as fv
 from kpiloom.functions import expr as E
+from kpiloom.operators.features import with_baseline
 
 RCA_TYPE = (
     "struct<primary_cause:string,confidence:double,evidence:array<string>,"
@@ -87,3 +88,26 @@ def diagnose(df: DataFrame, signals: str = "fingerprint", out: str = "rca") -> D
         )
         .drop("_cause", *names.values())
     )
+
+
+def diagnose_wide(rows: DataFrame, baselines: DataFrame, entity: str = "cell_name") -> DataFrame:
+    """Adds ``primary_cause`` and ``confidence`` straight from the KPI columns.
+
+    Same verdict as :func:`diagnose` on a rule-made fingerprint; no arrays are
+    built, so the whole step is generated code.  For counting causes.
+    """
+    present = [m for m in fv.FINGERPRINT_METRICS if m in rows.columns and m in baselines.columns]
+    joined = with_baseline(rows, baselines, present, entity)
+
+    def delta(m: str) -> Column:
+        base = F.col(f"base_{m}")
+        usable = F.when(base != 0, E.deviation_pct(m, base)) if m in present else F.lit(None)
+        return F.coalesce(usable, F.lit(0.0))
+
+    wide = joined.withColumns({f"_d_{m}": delta(m) for m in fv.FINGERPRINT_METRICS})
+    cause = cause_of({m: F.col(f"_d_{m}") for m in fv.FINGERPRINT_METRICS})
+    return (
+        wide.withColumn("primary_cause", cause)
+        .withColumn("confidence", confidence_of("primary_cause"))
+        .drop(*[f"base_{m}" for m in present], *[f"_d_{m}" for m in fv.FINGERPRINT_METRICS])
+    )

@@ -164,14 +164,14 @@ def evidence(spark, d):
 @query("cause_breakdown", check_sql(
     "SELECT primary_cause, count(*) AS n_cases FROM cause GROUP BY primary_cause", "cause"))
 def cause_breakdown(spark, d):
-    found = diagnose.diagnose(anomalies_profiled(spark, d)).select("event_id", "rca.primary_cause")
+    found = diagnose.diagnose_wide(features.anomalies(kpi_r(spark, d)), baselines(spark, d))
     return report.cause_breakdown(found, first_by=["event_id"])
 
 
 @query("cause_by_cell", check_sql(
     "SELECT cell_name, primary_cause, count(*) AS n_cases FROM cause GROUP BY ALL", "cause"))
 def cause_by_cell(spark, d):
-    found = diagnose.diagnose(anomalies_profiled(spark, d)).select("cell_name", "rca.primary_cause")
+    found = diagnose.diagnose_wide(features.anomalies(kpi_r(spark, d)), baselines(spark, d))
     return found.groupBy("cell_name", "primary_cause").agg(F.count(F.lit(1)).alias("n_cases"))
 
 
