@@ -78,6 +78,18 @@ def before_row(batches: DataFrame, ts: str = "ts", tiebreak: str = "event_id") -
     return first_per_group(batches, ["case_id"], [F.desc(ts), F.desc(tiebreak)])
 
 
+def row_at_start(
+    cases: DataFrame, samples: DataFrame, entity: str = "cell_name", ts: str = "ts", tiebreak: str = "event_id"
+) -> DataFrame:
+    """The latest sample of the lookback batch of cases that start at one of the samples.
+
+    The batch ends at t0 and holds the sample at t0, so its last row is the last
+    one at exactly t0: an equality join finds it without building the batch.
+    """
+    at_start = cases.join(samples.withColumn("t0", F.col(ts)), [entity, "t0"])
+    return first_per_group(at_start, ["case_id"], [F.desc(tiebreak)])
+
+
 def after_row(
     cases: DataFrame,
     samples: DataFrame,

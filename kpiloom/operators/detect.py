@@ -6,7 +6,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiloom import fixed_values as fv
@@ -108,6 +108,15 @@ def score(model: PipelineModel, df: DataFrame, features: list[str]) -> DataFrame
     )
 
 
+def detection_aggregates() -> list[Column]:
+    """Any anomaly, number of predicted anomalies, highest probability of a group of samples."""
+    return [
+        (F.max("prediction") > 0).alias("is_anomaly_any"),
+        F.sum("prediction").alias("anomaly_count"),
+        F.max("probability").alias("max_probability"),
+    ]
+
+
 def detect_batches(scored: DataFrame, case: str = "case_id", only_anomalous: bool = True) -> DataFrame:
     """Per case: any anomaly, number of predicted anomalies, highest probability.
 
@@ -115,12 +124,7 @@ def detect_batches(scored: DataFrame, case: str = "case_id", only_anomalous: boo
     by case and time; gathering them into one list would tie a case's whole
     batch to one task.
     """
-    rolled = scored.groupBy(case).agg(
-        (F.max("prediction") > 0).alias("is_anomaly_any"),
-        F.sum("prediction").alias("anomaly_count"),
-        F.max("probability").alias("max_probability"),
-        F.count(F.lit(1)).alias("n_samples"),
-    )
+    rolled = scored.groupBy(case).agg(*detection_aggregates(), F.count(F.lit(1)).alias("n_samples"))
     return rolled.filter("is_anomaly_any") if only_anomalous else rolled
 
 

@@ -45,15 +45,16 @@ def group_percentiles(
         return group_percentiles(whole, [_ALL], columns, probs, hot_group_rows).drop(_ALL)
 
     data = df.select(*keys, *columns)
-    sizes = stage(data.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")), "group-sizes")
-    hot = sizes.filter(F.col("_rows") > hot_group_rows).select(*keys)
-    hot_groups = hot.count()
-    if hot_groups == 0:
+    sizes = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    too_large = F.col("_rows") > hot_group_rows
+    if sizes.filter(too_large).isEmpty():
         return _builtin(data, keys, columns, probs)
-    selected = _select(data, keys, columns, probs, stage(hot, "hot-groups"))
-    if hot_groups == sizes.count():
+    sizes = stage(sizes, "group-sizes")
+    hot = stage(sizes.filter(too_large).select(*keys), "hot-groups")
+    selected = _select(data, keys, columns, probs, hot)
+    if sizes.filter(~too_large).isEmpty():
         return selected
-    cold = data.join(broadcast_if_small(stage(hot, "hot-groups")), keys, "left_anti")
+    cold = data.join(broadcast_if_small(hot), keys, "left_anti")
     return _builtin(cold, keys, columns, probs).unionByName(selected)
 
 

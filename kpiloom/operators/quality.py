@@ -21,12 +21,17 @@ from kpiloom.operators.percentiles import HOT_GROUP_ROWS, group_percentiles
 
 # ---- per-incident batches ------------------------------------------------------------------
 
+def quality_aggregates(features: list[str]) -> list[Column]:
+    """``n_rows`` and ``_share`` (missing share over all features) of a group of samples."""
+    share = F.avg(E.missing_count(features) / F.lit(float(len(features))))
+    return [F.count(F.lit(1)).alias("n_rows"), share.alias("_share")]
+
+
 def batch_quality(batches: DataFrame, features: list[str], case: str = "case_id") -> DataFrame:
     """Rows, missing share over all features, and severity band of each batch."""
-    share = F.avg(E.missing_count(features) / F.lit(float(len(features))))
     return (
         batches.groupBy(case)
-        .agg(F.count(F.lit(1)).alias("n_rows"), share.alias("_share"))
+        .agg(*quality_aggregates(features))
         .select(
             case,
             "n_rows",

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpiloom import fixed_values as fv
+from kpiloom.functions import expr as E
 from kpiloom.operators import (
     cases,
     detect,
@@ -75,20 +76,29 @@ def build_cases(
     if num_cases is not None:
         found = cases.take_cases(found, num_cases, entity)
     found = stage(cases.as_cases(found, entity), "incidents")
-    batches = stage(cases.lookback_batch(found, scored, lookback_seconds, entity), "batches")
-
-    checked = quality.batch_quality(batches, used).select(
-        "case_id",
-        F.struct("n_rows", "missing_pct", F.array("issues").alias("issues"), "severity").alias("quality"),
+    # One aggregate over the joined batches; the batches themselves are never stored.
+    rolled = (
+        cases.lookback_batch(found, scored, lookback_seconds, entity)
+        .groupBy("case_id")
+        .agg(*quality.quality_aggregates(used), *detect.detection_aggregates())
+        .filter("is_anomaly_any")
+        .select(
+            "case_id",
+            F.struct(
+                "n_rows",
+                (F.col("_share") * 100).alias("missing_pct"),
+                F.array(F.lit(fv.ISSUE_BASIC_CHECK)).alias("issues"),
+                E.severity("_share").alias("severity"),
+            ).alias("quality"),
+            F.struct("is_anomaly_any", "anomaly_count", "max_probability").alias("detection"),
+        )
     )
     if "quality" in answers:
-        sized = answers["quality"].join(checked.select("case_id", "quality.n_rows"), "case_id")
-        checked = responses.coalesce_response(checked, responses.quality_response(sized), "quality").drop("source")
-    detected = detect.detect_batches(batches).select(
-        "case_id", F.struct("is_anomaly_any", "anomaly_count", "max_probability").alias("detection")
-    )
+        rolled = stage(rolled, "rolled")
+        sized = answers["quality"].join(rolled.select("case_id", "quality.n_rows"), "case_id")
+        rolled = responses.coalesce_response(rolled, responses.quality_response(sized), "quality").drop("source")
 
-    last = cases.before_row(batches).join(detected, "case_id")
+    last = cases.row_at_start(found, scored, entity).join(rolled, "case_id")
     profiled = fingerprint.fingerprint(last, baselines, entity=entity)
     if "profiler" in answers:
         listed = responses.signal_response(answers["profiler"])
@@ -110,9 +120,10 @@ def build_cases(
         ).drop("source")
     before = stage(diagnosed, "diagnosed")
 
-    table = before.select("case_id", entity, "t0", "fingerprint", "rca", "detection").join(checked, "case_id", "left")
+    table = before.select("case_id", entity, "t0", "quality", "detection", "fingerprint", "rca")
     if "planner" in answers:
-        plans = planning.assemble_plans(answers["planner"])
+        # Parsed once: the table is read three times below.
+        plans = stage(planning.assemble_plans(answers["planner"]), "plans")
         touched = planning.blast_radius(
             plans.filter("error IS NULL").select("case_id", F.explode("plan.actions").alias("a")).select("case_id", "a.params")
         )

@@ -12,6 +12,7 @@ from kpiloom.operators import quality, report, responses, verify
 from kpiloom.registry.base import answers_sql, body_sql, check_sql, query, r, rounded
 from kpiloom.registry.incidents import _SB, _TOP, _after, _scored_batches
 from kpiloom.registry.inputs import anomalies_profiled, baselines, batches, kpi_r
+from kpiloom.session import stage
 from kpiloom.sources import views
 
 # ---- plans ---------------------------------------------------------------------------------
@@ -405,7 +406,7 @@ _TOUCHED = (
     "3::bigint AS max_blast_radius FROM p JOIN t USING (case_id) WHERE actions IS NOT NULL",
     "plan_answers", ans=answers_sql("plan_answers"), p=_PLANS, t=_TOUCHED))
 def execution_payload(spark, d):
-    plans = planning.assemble_plans(views.view(spark, d, "plan_answers")).filter("error IS NULL")
+    plans = stage(planning.assemble_plans(views.view(spark, d, "plan_answers")), "plans").filter("error IS NULL")
     actions = plans.select("case_id", F.explode("plan.actions").alias("a")).select("case_id", "a.params")
     out = payloads.execution_payload(plans.join(planning.blast_radius(actions), "case_id"))
     return out.select(
@@ -494,11 +495,12 @@ def _case_signals(spark, d):
     """Signals of a case: metrics that moved by more than a tenth."""
     found = diagnose.diagnose(anomalies_profiled(spark, d))
     moved = F.filter("fingerprint", lambda s: F.abs(s["delta_pct"]) > 10)
-    return found.select(
+    signals = found.select(
         F.col("event_id").alias("case_id"),
         F.transform(moved, lambda s: s["metric"]).alias("signals"),
         F.col("rca.primary_cause").alias("cause"),
     )
+    return stage(signals, "case-signals")
 
 
 _CASE_SIGNALS = (
