@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from kpiloom import fixed_values as fv
 from kpiloom.functions import expr as E
-from kpiloom.operators.percentiles import HOT_GROUP_ROWS, group_percentiles
+from kpiloom.operators.percentiles import LARGE_GROUP, group_percentiles
 from kpiloom.session import broadcast_if_small
 
 
@@ -57,7 +57,7 @@ def entity_baselines(
     entity: str = "cell_name",
     label: str | None = "is_anomaly",
     approximate: bool = False,
-    hot_group_rows: int = HOT_GROUP_ROWS,
+    large: int = LARGE_GROUP,
 ) -> DataFrame:
     """Median of every feature over the normal rows of each entity.
 
@@ -66,7 +66,7 @@ def entity_baselines(
     rows = (normals(df, label) if label else df).filter(F.col(entity).isNotNull())
     if approximate:
         return rows.groupBy(entity).agg(*[F.percentile_approx(c, 0.5, 10_000).alias(c) for c in features])
-    medians = group_percentiles(rows, [entity], features, [0.5], hot_group_rows)
+    medians = group_percentiles(rows, [entity], features, [0.5], large)
     return medians.select(entity, *[F.get(c, F.lit(0)).alias(c) for c in features])
 
 

@@ -1,9 +1,10 @@
 """Exact percentiles per group that hold up when one group dominates.
 
 The built-in exact ``percentile`` keeps every distinct value of a group in one
-aggregation buffer.  That is the cheapest plan while groups are small, and fails
-for a group holding a third of a huge table.  So the rows per group are counted
-first, and only the groups beyond a bound take the selection path:
+aggregation buffer.  That is the cheapest plan while groups have few rows or few
+distinct values, and fails for a group holding a third of a huge table of
+readings.  So rows and distinct values (a bounded sketch) are checked first, and
+only large groups take the selection path, for their many-valued columns:
 
 1. one bounded sketch per group gives a narrow value band around each target rank;
 2. one partial aggregate counts the values below and inside each band, which says
@@ -16,14 +17,18 @@ Passes 1 and 2 shuffle one row per group and task, pass 3 a tiny share of the da
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiloom.session import broadcast_if_small, stage
 
-HOT_GROUP_ROWS = 250_000
-SKETCH_ACCURACY = 10_000
-BAND = 3e-4
+#: Rows, and distinct values of a column, up to which one buffer may hold a group.
+LARGE_GROUP = 250_000
+#: Rank error of the sketch is 1 / accuracy; the band is twice as wide on each side.
+SKETCH_ACCURACY = 2_000
+BAND = 1e-3
 
 _ALL = "_all_rows"
 
@@ -33,29 +38,43 @@ def group_percentiles(
     keys: list[str],
     columns: list[str],
     probs: list[float],
-    hot_group_rows: int = HOT_GROUP_ROWS,
+    large: int = LARGE_GROUP,
 ) -> DataFrame:
     """One row per group: keys and, per column, an array of its percentiles.
 
     Linear interpolation between neighbours, NULLs skipped; a column without any
     value in a group gives NULLs.  With no keys the whole table is one group.
+    Keys must not be NULL.
     """
     if not keys:
         whole = df.select(F.lit(0).alias(_ALL), *columns)
-        return group_percentiles(whole, [_ALL], columns, probs, hot_group_rows).drop(_ALL)
+        return group_percentiles(whole, [_ALL], columns, probs, large).drop(_ALL)
 
     data = df.select(*keys, *columns)
     sizes = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    too_large = F.col("_rows") > hot_group_rows
-    if sizes.filter(too_large).isEmpty():
+    if sizes.filter(F.col("_rows") > large).isEmpty():
+        return _builtin(data, keys, columns, probs)
+
+    spreads = stage(
+        data.groupBy(*keys).agg(*[F.approx_count_distinct(c).alias(f"_d{i}") for i, c in enumerate(columns)]),
+        "value-counts",
+    )
+    widest = spreads.agg(*[F.max(f"_d{i}").alias(f"_d{i}") for i in range(len(columns))]).first()
+    many = [i for i in range(len(columns)) if widest[f"_d{i}"] > large]
+    if not many:
         return _builtin(data, keys, columns, probs)
-    sizes = stage(sizes, "group-sizes")
-    hot = stage(sizes.filter(too_large).select(*keys), "hot-groups")
-    selected = _select(data, keys, columns, probs, hot)
-    if sizes.filter(~too_large).isEmpty():
-        return selected
-    cold = data.join(broadcast_if_small(hot), keys, "left_anti")
-    return _builtin(cold, keys, columns, probs).unionByName(selected)
+
+    is_hot = reduce(lambda a, b: a | b, [F.col(f"_d{i}") > large for i in many])
+    hot = stage(spreads.filter(is_hot).select(*keys), "hot-groups")
+    wide = [columns[i] for i in many]
+    result = _select(data.select(*keys, *wide), keys, wide, probs, hot)
+    if not spreads.filter(~is_hot).isEmpty():
+        cold = data.join(broadcast_if_small(hot), keys, "left_anti")
+        result = result.unionByName(_builtin(cold, keys, wide, probs))
+    narrow = [c for c in columns if c not in wide]
+    if narrow:
+        result = result.join(_builtin(data, keys, narrow, probs), keys)
+    return result.select(*keys, *columns)
 
 
 def _builtin(data: DataFrame, keys: list[str], columns: list[str], probs: list[float]) -> DataFrame:
@@ -92,18 +111,21 @@ def _select(
         "limits",
     )
 
-    inside = [
+    def within(i: int, j: int, c: str) -> Column:
+        low, high = F.col(f"_t{i}_{j}.low"), F.col(f"_t{i}_{j}.high")
+        return F.col(c).isNotNull() & (low.isNull() | (F.col(c) >= low)) & (high.isNull() | (F.col(c) <= high))
+
+    kept = [
         F.when(
-            F.col(c).isNotNull()
-            & (F.col(f"_t{i}_{j}.low").isNull() | (F.col(c) >= F.col(f"_t{i}_{j}.low")))
-            & (F.col(f"_t{i}_{j}.high").isNull() | (F.col(c) <= F.col(f"_t{i}_{j}.high"))),
+            within(i, j, c),
             F.struct(F.lit(i).alias("_i"), F.lit(j).alias("_j"), F.col(c).cast("double").alias("_v")),
         )
         for i, j, c, _ in targets
     ]
     values = (
         data.join(broadcast_if_small(limits), keys)
-        .select(*keys, F.explode(F.array_compact(F.array(*inside))).alias("_x"))
+        .filter(reduce(lambda a, b: a | b, [within(i, j, c) for i, j, c, _ in targets]))
+        .select(*keys, F.explode(F.array_compact(F.array(*kept))).alias("_x"))
         .select(*keys, "_x.*")
         .groupBy(*keys, "_i", "_j", "_v")
         .agg(F.count(F.lit(1)).alias("_c"))

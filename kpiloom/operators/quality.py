@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from kpiloom import fixed_values as fv
 from kpiloom.functions import expr as E
 from kpiloom.operators.features import numeric_features
-from kpiloom.operators.percentiles import HOT_GROUP_ROWS, group_percentiles
+from kpiloom.operators.percentiles import LARGE_GROUP, group_percentiles
 
 
 # ---- per-incident batches ------------------------------------------------------------------
@@ -147,9 +147,9 @@ def quality_score(df: DataFrame) -> DataFrame:
     )
 
 
-def _stats_row(df: DataFrame, columns: list[str], hot_group_rows: int) -> dict[str, dict]:
+def _stats_row(df: DataFrame, columns: list[str], large: int) -> dict[str, dict]:
     """Quartiles, mean and deviation of each column as one driver-side row of scalars."""
-    quartiles = group_percentiles(df, [], columns, [0.25, 0.75], hot_group_rows).first()
+    quartiles = group_percentiles(df, [], columns, [0.25, 0.75], large).first()
     moments = df.agg(
         *[f(c).alias(f"{n}_{i}") for i, c in enumerate(columns) for n, f in (("m", F.avg), ("s", F.stddev_samp))]
     ).first()
@@ -172,7 +172,7 @@ def outlier_report(
     columns: list[str] | None = None,
     threshold: float = 3.0,
     only_hits: bool = True,
-    hot_group_rows: int = HOT_GROUP_ROWS,
+    large: int = LARGE_GROUP,
 ) -> DataFrame:
     """Outliers per numeric column by quartile fences and by z-score.
 
@@ -181,7 +181,7 @@ def outlier_report(
     that pass is one aggregate without a join.
     """
     columns = columns or numeric_features(df)
-    stats = _stats_row(df, columns, hot_group_rows) if columns else {}
+    stats = _stats_row(df, columns, large) if columns else {}
     columns = list(stats)
     if not columns:
         return df.sparkSession.createDataFrame([], _OUTLIER_SCHEMA)

@@ -146,7 +146,7 @@ def entity_baselines(spark, d):
 @query("entity_baselines_hot", check_sql(f"SELECT cell_name, {rs(fv.KPIS)} FROM base", "base"))
 def entity_baselines_hot(spark, d):
     """The same medians by rank selection, the way of groups too large for one buffer."""
-    return rounded(features.entity_baselines(kpi_r(spark, d), fv.KPIS, hot_group_rows=100))
+    return rounded(features.entity_baselines(kpi_r(spark, d), fv.KPIS, large=3))
 
 
 _LINE = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -293,7 +293,7 @@ def outlier_report(spark, d):
 def outlier_report_lineitem(spark, d):
     """A second schema, with the quartiles taken by rank selection."""
     lines = views.table(spark, d, "lineitem")
-    return _rounded_report(quality.outlier_report(lines, _LINE, only_hits=False, hot_group_rows=1_000))
+    return _rounded_report(quality.outlier_report(lines, _LINE, only_hits=False, large=1_000))
 
 
 @query("drop_duplicates", check_sql(f"SELECT {_DIRTY_ALL} FROM (SELECT DISTINCT * FROM kpi_dirty) x", "kpi_dirty"))

@@ -19,6 +19,7 @@ def build_session(app: str = "kpiloom", master: str | None = None, **conf: str)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)
@@ -74,3 +75,14 @@ def broadcast_if_small(table: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTE
     if table.count() * row_bytes <= limit_bytes:
         return F.broadcast(table)
     return table
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Use all cores on an input that arrives in fewer splits than there are cores.
+
+    One file with one row group is a single task, whatever the cluster.  Large
+    inputs have more splits than cores and come back untouched.  Pass a plain
+    scan: asking for its partitions must not run a query.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() * 2 <= cores else scan

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from kpiloom.session import spread
+
 KPI = """
 SELECT event_id, cell_name, ts, is_anomaly,
   CASE WHEN event_id % 17 = 0 THEN NULL ELSE (3e1 + k * 2e-2) * CASE WHEN f IN (1, 4) THEN 5e-1 ELSE 1e0 END END AS thp_dl,
@@ -200,7 +202,7 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
 
 def kpi_view(spark: SparkSession, directory: str) -> DataFrame:
     """KPI samples derived from the event table."""
-    return spark.sql(KPI, events=table(spark, directory, "events"))
+    return spark.sql(KPI, events=spread(table(spark, directory, "events")))
 
 
 def view(spark: SparkSession, directory: str, name: str) -> DataFrame:

@@ -63,7 +63,7 @@ def test_outliers_by_hand(spark):
     rng = random.Random(5)
     values = [rng.gauss(10, 2) for _ in range(200)] + [60.0, -40.0]
     df = spark.createDataFrame([(v, 3.0, None) for v in values], "x double, flat double, none double")
-    report = {r["column"]: r for r in quality.outlier_report(df, only_hits=False, hot_group_rows=50).collect()}
+    report = {r["column"]: r for r in quality.outlier_report(df, only_hits=False, large=50).collect()}
     assert set(report) == {"x", "flat"}
     q1, q3 = np.quantile(values, [0.25, 0.75])
     low, high = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
