@@ -25,10 +25,11 @@ from pyspark.sql import functions as F
 from kpiloom.session import broadcast_if_small, stage
 
 #: Rows, and distinct values of a column, up to which one buffer may hold a group.
-LARGE_GROUP = 250_000
-#: Rank error of the sketch is 1 / accuracy; the band is twice as wide on each side.
+LARGE_GROUP = 20_000
+#: Rank error of a sketch is 1 / accuracy.  The band reaches twice that far on each
+#: side; its rows meet in one task, so the accuracy grows with the largest group.
 SKETCH_ACCURACY = 2_000
-BAND = 1e-3
+MAX_ACCURACY = 50_000
 
 _ALL = "_all_rows"
 
@@ -52,7 +53,8 @@ def group_percentiles(
 
     data = df.select(*keys, *columns)
     sizes = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    if sizes.filter(F.col("_rows") > large).isEmpty():
+    largest = sizes.agg(F.max("_rows")).first()[0] or 0
+    if largest <= large:
         return _builtin(data, keys, columns, probs)
 
     spreads = stage(
@@ -67,7 +69,8 @@ def group_percentiles(
     is_hot = reduce(lambda a, b: a | b, [F.col(f"_d{i}") > large for i in many])
     hot = stage(spreads.filter(is_hot).select(*keys), "hot-groups")
     wide = [columns[i] for i in many]
-    result = _select(data.select(*keys, *wide), keys, wide, probs, hot)
+    accuracy = min(MAX_ACCURACY, max(SKETCH_ACCURACY, largest // 500_000))
+    result = _select(data.select(*keys, *wide), keys, wide, probs, hot, accuracy)
     if not spreads.filter(~is_hot).isEmpty():
         cold = data.join(broadcast_if_small(hot), keys, "left_anti")
         result = result.unionByName(_builtin(cold, keys, wide, probs))
@@ -83,15 +86,16 @@ def _builtin(data: DataFrame, keys: list[str], columns: list[str], probs: list[f
 
 
 def _select(
-    data: DataFrame, keys: list[str], columns: list[str], probs: list[float], hot: DataFrame
+    data: DataFrame, keys: list[str], columns: list[str], probs: list[float], hot: DataFrame, accuracy: int
 ) -> DataFrame:
     data = data.join(broadcast_if_small(hot), keys, "left_semi")
     targets = [(i, j, c, p) for i, c in enumerate(columns) for j, p in enumerate(probs)]
 
-    edges = F.array(*[F.lit(e) for p in probs for e in (max(0.0, p - BAND), min(1.0, p + BAND))])
+    band = 2.0 / accuracy
+    edges = F.array(*[F.lit(e) for p in probs for e in (max(0.0, p - band), min(1.0, p + band))])
     bands = stage(
         data.groupBy(*keys).agg(
-            *[F.percentile_approx(c, edges, SKETCH_ACCURACY).alias(f"_q{i}") for i, c in enumerate(columns)]
+            *[F.percentile_approx(c, edges, accuracy).alias(f"_q{i}") for i, c in enumerate(columns)]
         ),
         "bands",
     )

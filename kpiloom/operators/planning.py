@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiloom import fixed_values as fv
@@ -106,15 +108,17 @@ def plan_risk_order(actions: DataFrame, whitelist: DataFrame, case: str = "case_
 
     Reports only; nothing is dropped.
     """
-    rank = F.create_map(*[x for k, v in fv.RISK_RANK.items() for x in (F.lit(k), F.lit(v))])
-    ranked = validate_actions(actions, whitelist).withColumn("_risk", F.try_element_at(rank, F.col("risk")))
-    before = F.lag("_risk").over(Window.partitionBy(case).orderBy(pos))
+    levels = sorted(fv.RISK_RANK, key=fv.RISK_RANK.get)
+    first = {r: F.min(F.when(F.col("risk") == r, F.col(pos))) for r in levels}
+    last = {r: F.max(F.when(F.col("risk") == r, F.col(pos))) for r in levels}
+    # Risk falls somewhere exactly when a riskier action precedes a less risky one.
+    falls = [first[high] < last[low] for i, low in enumerate(levels) for high in levels[i + 1 :]]
     return (
-        ranked.withColumn("_falls", F.coalesce(F.col("_risk") < before, F.lit(False)))
+        validate_actions(actions, whitelist)
         .groupBy(case)
         .agg(
             F.count(F.lit(1)).alias("n_actions"),
-            F.max("_falls").alias("risk_order_broken"),
+            reduce(lambda a, b: a | b, [F.coalesce(f, F.lit(False)) for f in falls]).alias("risk_order_broken"),
         )
         .withColumn("too_many_actions", F.col("n_actions") > fv.MAX_PLAN_ACTIONS)
     )

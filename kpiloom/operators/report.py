@@ -20,7 +20,9 @@ def closure_summary(cases: DataFrame, closed: str = "closed") -> DataFrame:
 
 def cause_breakdown(cases: DataFrame, cause: str = "primary_cause", first_by: list[str] | None = None) -> DataFrame:
     """Cases per cause, most frequent first, ties by first appearance."""
-    first = F.min(F.struct(*[F.col(c) for c in first_by or ["case_id"]]))
+    first_by = first_by or ["case_id"]
+    # A single column stays a plain minimum, which hash aggregation can hold.
+    first = F.min(first_by[0] if len(first_by) == 1 else F.struct(*first_by))
     counted = cases.groupBy(cause).agg(F.count(F.lit(1)).alias("n_cases"), first.alias("_first"))
     return counted.orderBy(F.desc("n_cases"), "_first").drop("_first")
 

@@ -250,18 +250,16 @@ def signals_or_rule(spark, d):
 
 
 @query("execution_answers", check_sql(
-    "SELECT case_id, j IS NOT NULL AS valid, CASE WHEN j IS NULL THEN 'ok' ELSE coalesce(" + _get("$.status")
-    + ", 'none') END AS status, CASE WHEN j IS NULL THEN 'simulated' ELSE coalesce(" + _get("$.mode")
-    + ", 'none') END AS mode, CASE WHEN j IS NULL THEN n ELSE coalesce(json_array_length(j, '$.executed'), 0) END::int "
-    "AS n_executed FROM ans JOIN (SELECT case_id, count(*) AS n FROM proposals GROUP BY case_id) p USING (case_id)",
-    "execution_answers", "proposals", ans=answers_sql("execution_answers")))
+    "SELECT e.case_id, e.j IS NOT NULL AS valid, CASE WHEN e.j IS NULL THEN 'ok' ELSE "
+    "coalesce(json_extract_string(e.j, '$.status'), 'none') END AS status, CASE WHEN e.j IS NULL THEN 'simulated' ELSE "
+    "coalesce(json_extract_string(e.j, '$.mode'), 'none') END AS mode, CASE WHEN e.j IS NULL THEN "
+    "len(string_split(p.actions, ',')) ELSE coalesce(json_array_length(e.j, '$.executed'), 0) END::int AS n_executed "
+    "FROM e JOIN p USING (case_id) WHERE p.actions IS NOT NULL",
+    "execution_answers", "plan_answers", ans=answers_sql("plan_answers"), p=_PLANS, e=answers_sql("execution_answers")))
 def execution_answers(spark, d):
-    # Proposals of a case are a short list (at most three here), as in any plan.
-    listed = F.collect_list(F.struct("pos", F.col("action_id").alias("id"), "params"))
-    actions = _proposals(spark, d).groupBy("case_id").agg(
-        F.array_sort(listed, lambda a, b: a["pos"] - b["pos"]).alias("actions")
-    )
-    answers = views.view(spark, d, "execution_answers").join(actions, "case_id")
+    plans = stage(planning.assemble_plans(views.view(spark, d, "plan_answers")), "plans").filter("error IS NULL")
+    planned = plans.select("case_id", F.col("plan.actions").alias("actions"))
+    answers = views.view(spark, d, "execution_answers").join(planned, "case_id")
     out = responses.execution_response(answers, "actions")
     return out.select(
         "case_id", "valid",
