@@ -293,7 +293,9 @@ def detector_metrics(spark, d):
     return detect.evaluate(detect.score(model, split.filter("is_test"), used))
 
 
-@query("model_round_trip")
+@query("model_round_trip", check_sql(
+    "SELECT sum(n)::bigint AS n_rows, 0::bigint AS n_changed FROM (SELECT floor(count(*) * 0.25e0 + 0.5e0) AS n FROM kpi "
+    "GROUP BY is_anomaly) x", "kpi"))
 def model_round_trip(spark, d):
     """Rows whose score changes when the model is saved and loaded; one count, always 0."""
     model, used, split = _trained(spark, d)

@@ -223,7 +223,10 @@ def missing_by_column_clean(spark, d):
     return quality.missing_by_column(views.table(spark, d, "events"))
 
 
-@query("dtype_report")
+@query("dtype_report", check_sql(
+    " UNION ALL ".join(
+        f"SELECT count(*) AS total_rows, {_N} AS total_columns, '{c}' AS \"column\", "
+        f"'{_TYPES.get(c, 'double')}' AS data_type FROM kpi_dirty" for c in _DIRTY_COLS), "kpi_dirty"))
 def dtype_report(spark, d):
     return quality.dtype_report(_dirty(spark, d))
 

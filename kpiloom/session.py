@@ -47,8 +47,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def stage_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/kpiloom/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, in one folder per application.
+
+    Whoever owns the shared folder can drop ``kpiloom/<application id>`` once the
+    application has ended.
+    """
+    run = spark.sparkContext.applicationId
+    return f"{shared_dir(spark)}/kpiloom/{run}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
