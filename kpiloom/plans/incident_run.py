@@ -64,12 +64,14 @@ def build_cases(
     lookback_seconds: int = 300,
     ahead_seconds: int = 900,
     entity: str = "cell_name",
+    model: PipelineModel | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Case table and verification context from scored samples.
 
     ``answers`` maps quality, profiler, rca, planner, executor and verifier to
     tables ``(case_id, text)``.  A case in whose batch no sample is predicted
-    anomalous is dropped.
+    anomalous is dropped.  With a ``model``, each fingerprint ends with the case's
+    strongest feature attributions.
     """
     answers = answers or {}
     found = cases.incident_slots(scored, entity=entity)
@@ -113,6 +115,12 @@ def build_cases(
         )
         picked = listed.select("case_id", "valid", full.alias("fingerprint"))
         profiled = responses.coalesce_response(profiled, picked, "fingerprint").drop("source")
+    if model is not None:
+        last = stage(last.select("case_id", entity, *used), "case-rows")
+        moved = detect.occlusion_contributions(model, last, used, baselines, entity)
+        profiled = profiled.join(detect.attribution_columns(moved, used), "case_id", "left")
+        strongest = fingerprint.top_attributions({f: F.col(f"attr_{f}") for f in used})
+        profiled = profiled.withColumn("fingerprint", F.concat("fingerprint", strongest)).drop(*[f"attr_{f}" for f in used])
     diagnosed = diagnose.diagnose(profiled)
     if "rca" in answers:
         diagnosed = responses.coalesce_response(
@@ -154,15 +162,17 @@ def run_incidents(
     lookback_seconds: int = 300,
     ahead_seconds: int = 900,
     entity: str = "cell_name",
+    attribute: bool = False,
 ) -> IncidentRun:
-    """Full run; with ``out`` the model, the baselines and the case history are written there."""
+    """Full run; ``attribute`` adds feature attributions to the fingerprints; with ``out`` the model, the baselines and the case history are written there."""
     prepared, baselines, used = prepare(kpi, entity)
     split = stage(detect.stratified_split(prepared), "prepared")
     model = detect.train_detector(split.filter("NOT is_test"), used, trees=trees, max_depth=max_depth)
     scored = stage(detect.score(model, split, used), "scored")
     metrics = detect.evaluate(scored.filter("is_test"))
     table, context = build_cases(
-        scored.drop("is_test"), baselines, used, answers, num_cases, lookback_seconds, ahead_seconds, entity
+        scored.drop("is_test"), baselines, used, answers, num_cases, lookback_seconds, ahead_seconds, entity,
+        model if attribute else None,
     )
     table = stage(table, "cases")
     if out:
