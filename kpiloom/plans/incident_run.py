@@ -30,7 +30,7 @@ from kpiloom.operators import (
     responses,
     verify,
 )
-from kpiloom.session import stage
+from kpiloom.session import spread, stage
 from kpiloom.sources import sinks
 
 
@@ -167,7 +167,7 @@ def run_incidents(
     """Full run; ``attribute`` adds feature attributions to the fingerprints; with ``out`` the model, the baselines and the case history are written there."""
     prepared, baselines, used = prepare(kpi, entity)
     split = stage(detect.stratified_split(prepared), "prepared")
-    model = detect.train_detector(split.filter("NOT is_test"), used, trees=trees, max_depth=max_depth)
+    model = detect.train_detector(spread(split).filter("NOT is_test"), used, trees=trees, max_depth=max_depth)
     scored = stage(detect.score(model, split, used), "scored")
     metrics = detect.evaluate(scored.filter("is_test"))
     table, context = build_cases(

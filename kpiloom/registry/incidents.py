@@ -9,7 +9,7 @@ from kpiloom.functions import expr as E
 from kpiloom.operators import cases, detect, diagnose, features, fingerprint, quality, report, verify
 from kpiloom.registry.base import check_sql, query, r, rounded, rs
 from kpiloom.registry.inputs import SIX_HOURS, anomalies_profiled, baselines, batches, incidents, kpi_r
-from kpiloom.session import stage, stage_path
+from kpiloom.session import spread, stage, stage_path
 from kpiloom.sources import sinks, views
 
 # ---- incidents and their samples -----------------------------------------------------------
@@ -277,7 +277,7 @@ def _trained(spark, d):
     used = features.model_features(rows)
     split = stage(detect.stratified_split(rows), "split")
     # A small forest: the operator's default is 200 trees of depth 30.
-    model = detect.train_detector(split.filter("NOT is_test"), used, trees=20, max_depth=10)
+    model = detect.train_detector(spread(split).filter("NOT is_test"), used, trees=20, max_depth=10)
     return model, used, split
 
 
