@@ -74,8 +74,6 @@ def train_detector(
 ) -> PipelineModel:
     """Random forest on all features, NULL as 0.
 
-    Growing trees passes over the data once per level, so ``df`` should be a
-    staged table, spread over all cores (:func:`kpiloom.session.spread`).
     Depth 30 is the deepest Spark grows.  ``min_instances`` and ``subsampling``
     keep the trees, which live on the driver, of bounded size on very large data.
     """
