@@ -40,3 +40,18 @@ def words_of(text: Column) -> Column:
     """Words between runs of ASCII white space; the empty array for none."""
     bare = F.btrim(text, F.lit(SPACES))
     return F.when(F.length(bare) == 0, F.array().cast("array<string>")).otherwise(F.split(bare, SPACE_RUN))
+
+
+def ship(spark) -> None:
+    """Let local Python workers import this package from where the driver did.
+
+    On a cluster the package comes with ``--py-files`` or is installed; there the
+    extra entry on the workers' path does no harm.
+    """
+    import os
+
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
