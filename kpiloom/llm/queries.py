@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiloom.llm import bpe, checks, quality_rules
+from kpiloom.llm import bpe, checks, packing, quality_rules
 
 
 def _table(spark: SparkSession, directory: str, name: str) -> DataFrame:
@@ -16,12 +16,17 @@ def op5_quality_rules(spark: SparkSession, directory: str) -> DataFrame:
     return quality_rules.judge(_table(spark, directory, "documents")).drop("reason")
 
 
+def op6_best_fit_packing(spark: SparkSession, directory: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, directory, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op7_bpe(spark: SparkSession, directory: str) -> DataFrame:
     return bpe.round_trip(_table(spark, directory, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 QUERIES = {
     "op5_quality_rules": op5_quality_rules,
+    "op6_best_fit_packing": op6_best_fit_packing,
     "op7_bpe": op7_bpe,
 }
 CHECKS: dict[str, str] = {
