@@ -5,13 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiloom.llm import bpe, checks, packing, quality_rules
+from kpiloom.llm import bpe, checks, license_scan, packing, quality_rules
 
 
 def _table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+def op3_license_scan(spark: SparkSession, directory: str) -> DataFrame:
+    return license_scan.scan(_table(spark, directory, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, directory: str) -> DataFrame:
     return quality_rules.judge(_table(spark, directory, "documents")).drop("reason")
 
@@ -25,6 +29,7 @@ def op7_bpe(spark: SparkSession, directory: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_license_scan": op3_license_scan,
     "op5_quality_rules": op5_quality_rules,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_bpe": op7_bpe,
