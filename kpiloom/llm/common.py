@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kpiloom.session import stage
+
 #: ASCII white space, as the word definitions of this subpackage mean it.
 SPACES = " \t\n\x0b\f\r"
 #: A Java and RE2 pattern for a run of it.
@@ -55,3 +57,57 @@ def ship(spark) -> None:
     known = environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+
+
+#: A key is hot from this many rows on, or from a ten-thousandth of all rows if that is more.
+HOT_ROWS = 500
+HOT_SHARE = 10_000
+
+
+def hot_keys(df: DataFrame, key: str, name: str = "hot") -> DataFrame:
+    """``key, pieces`` of the hot keys, staged: at most ``HOT_SHARE`` rows whatever ``df`` holds.
+
+    Counts are partial before the shuffle, so a hot key costs one row per task.
+    """
+    counts = stage(df.groupBy(key).agg(F.count(F.lit(1)).alias("n")), f"{name}-counts")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    limit = max(HOT_ROWS, total // HOT_SHARE)
+    return counts.where(F.col("n") > limit).where(F.col(key).isNotNull()).select(
+        key, F.ceil(F.col("n") / limit).cast("int").alias("pieces")
+    )
+
+
+def lookup(many: DataFrame, one: DataFrame, key: str, salt_by: Column, how: str = "left") -> DataFrame:
+    """``many`` joined to ``one`` (unique in ``key``) so that no key lands in one task whole.
+
+    Rows of hot keys are dealt over as many pieces as their size asks for, by
+    ``salt_by``; the one row that they meet is repeated once per piece.
+    """
+    hot = hot_keys(many.select(key), key, "lookup")
+    if not hot.head(1):
+        return many.join(one, key, how)
+    pieces = F.broadcast(hot)
+    dealt = many.join(pieces, key, "left").withColumn(
+        "_salt", F.when(F.col("pieces").isNull(), 0).otherwise(F.pmod(F.xxhash64(salt_by), F.col("pieces"))).cast("int")
+    ).drop("pieces")
+    copies = one.join(pieces, key, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("pieces"), F.lit(1)) - 1))
+    ).drop("pieces")
+    return dealt.join(copies, [key, "_salt"], how).drop("_salt")
+
+
+def word_runs(data: bytes, size: int = 4_000_000):
+    """Lists of the words of a text, run by run: a very long text is never one list."""
+    if len(data) <= size:
+        yield data.split()
+        return
+    at = 0
+    while at < len(data):
+        end = at + size
+        while end < len(data) and data[end] not in _SPACE_BYTES:
+            end += 1
+        yield data[at:end].split()
+        at = end
+
+
+_SPACE_BYTES = frozenset(SPACES.encode())

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiloom.llm import bpe, checks, license_scan, packing, quality_rules
+from kpiloom.llm import bpe, checks, license_scan, packing, quality_rules, simhash
 
 
 def _table(spark: SparkSession, directory: str, name: str) -> DataFrame:
@@ -28,11 +28,17 @@ def op7_bpe(spark: SparkSession, directory: str) -> DataFrame:
     return bpe.round_trip(_table(spark, directory, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_simhash(spark: SparkSession, directory: str) -> DataFrame:
+    found = simhash.groups(_table(spark, directory, "documents"))
+    return found.select("doc_id", simhash.hex_digits(found["fp"]).alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op3_license_scan": op3_license_scan,
     "op5_quality_rules": op5_quality_rules,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_bpe": op7_bpe,
+    "op8_simhash": op8_simhash,
 }
 CHECKS: dict[str, str] = {
     "op5_quality_rules": checks.QUALITY_RULES,
