@@ -5,13 +5,18 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiloom.llm import bpe, checks, license_scan, packing, quality_rules, simhash
+from kpiloom.llm import bpe, checks, language_id, license_scan, packing, quality_rules, simhash
 
 
 def _table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+def op2_language_id(spark: SparkSession, directory: str) -> DataFrame:
+    docs = _table(spark, directory, "documents")
+    return language_id.predict(docs, language_id.learn(docs))
+
+
 def op3_license_scan(spark: SparkSession, directory: str) -> DataFrame:
     return license_scan.scan(_table(spark, directory, "documents"))
 
@@ -34,6 +39,7 @@ def op8_simhash(spark: SparkSession, directory: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_language_id": op2_language_id,
     "op3_license_scan": op3_license_scan,
     "op5_quality_rules": op5_quality_rules,
     "op6_best_fit_packing": op6_best_fit_packing,
