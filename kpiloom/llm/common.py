@@ -64,32 +64,34 @@ HOT_ROWS = 500
 HOT_SHARE = 10_000
 
 
-def hot_keys(df: DataFrame, key: str, name: str = "hot") -> DataFrame:
-    """``key, pieces`` of the hot keys, staged: at most ``HOT_SHARE`` rows whatever ``df`` holds.
-
-    Counts are partial before the shuffle, so a hot key costs one row per task.
-    """
-    counts = stage(df.groupBy(key).agg(F.count(F.lit(1)).alias("n")), f"{name}-counts")
+def hot_keys(counts: DataFrame, key: str) -> DataFrame:
+    """``key, pieces`` of the hot keys of a written table ``key, n``: at most ``HOT_SHARE`` rows."""
     total = counts.agg(F.sum("n")).first()[0] or 0
     limit = max(HOT_ROWS, total // HOT_SHARE)
-    return counts.where(F.col("n") > limit).where(F.col(key).isNotNull()).select(
+    return counts.where((F.col("n") > limit) & F.col(key).isNotNull()).select(
         key, F.ceil(F.col("n") / limit).cast("int").alias("pieces")
     )
 
 
-def lookup(many: DataFrame, one: DataFrame, key: str, salt_by: Column, how: str = "left") -> DataFrame:
+def lookup(
+    many: DataFrame, one: DataFrame, key: str, how: str = "left", counts: DataFrame | None = None
+) -> DataFrame:
     """``many`` joined to ``one`` (unique in ``key``) so that no key lands in one task whole.
 
-    Rows of hot keys are dealt over as many pieces as their size asks for, by
-    ``salt_by``; the one row that they meet is repeated once per piece.
+    Rows of hot keys are dealt in turn over as many pieces as their number asks for;
+    the one row that they meet is repeated once per piece.  ``many`` must come straight
+    from files, so that a repeated task deals its rows alike.  Counting is partial before
+    its shuffle; ``counts`` (``key, n``, written) spares it.
     """
-    hot = hot_keys(many.select(key), key, "lookup")
+    if counts is None:
+        counts = stage(many.groupBy(key).agg(F.count(F.lit(1)).alias("n")), "counts")
+    hot = hot_keys(counts, key)
     if not hot.head(1):
         return many.join(one, key, how)
     pieces = F.broadcast(hot)
-    dealt = many.join(pieces, key, "left").withColumn(
-        "_salt", F.when(F.col("pieces").isNull(), 0).otherwise(F.pmod(F.xxhash64(salt_by), F.col("pieces"))).cast("int")
-    ).drop("pieces")
+    dealt = many.withColumn("_turn", F.monotonically_increasing_id()).join(pieces, key, "left").withColumn(
+        "_salt", F.when(F.col("pieces").isNull(), 0).otherwise(F.pmod(F.col("_turn"), F.col("pieces"))).cast("int")
+    ).drop("pieces", "_turn")
     copies = one.join(pieces, key, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("pieces"), F.lit(1)) - 1))
     ).drop("pieces")

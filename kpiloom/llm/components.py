@@ -37,11 +37,11 @@ def components(edges: DataFrame) -> DataFrame:
         )
         steps.append(step)
         moved = stage(
-            lookup(edges, step.select(F.col("node").alias("a"), F.col("to").alias("a2")), "a", F.col("b"), "inner")
+            lookup(edges, step.select(F.col("node").alias("a"), F.col("to").alias("a2")), "a", "inner")
             .select(F.col("a2").alias("a"), "b"),
             "moved",
         )
-        moved = lookup(moved, step.select(F.col("node").alias("b"), F.col("to").alias("b2")), "b", F.col("a"), "inner")
+        moved = lookup(moved, step.select(F.col("node").alias("b"), F.col("to").alias("b2")), "b", "inner")
         edges = stage(
             moved.select(F.col("a"), F.col("b2").alias("b")).where("a <> b")
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
@@ -56,6 +56,6 @@ def components(edges: DataFrame) -> DataFrame:
     for step in reversed(steps[:-1]):
         later = found.select(F.col("node").alias("to"), "root")
         found = stage(
-            lookup(step, later, "to", F.col("node")).select("node", F.coalesce("root", "to").alias("root")), "roots"
+            lookup(step, later, "to").select("node", F.coalesce("root", "to").alias("root")), "roots"
         )
     return found

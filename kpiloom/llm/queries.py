@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiloom.llm import bpe, checks, language_id, license_scan, packing, quality_rules, simhash
+from kpiloom.llm import bpe, checks, language_id, license_scan, packing, quality_rules, simhash, warc
 
 
 def _table(spark: SparkSession, directory: str, name: str) -> DataFrame:
@@ -38,6 +38,11 @@ def op8_simhash(spark: SparkSession, directory: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(found["fp"]).alias("fingerprint"), "component_id")
 
 
+def op9_warc(spark: SparkSession, directory: str) -> DataFrame:
+    index = warc.archive(_table(spark, directory, "pages"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_license_scan": op3_license_scan,
@@ -45,7 +50,9 @@ QUERIES = {
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_bpe": op7_bpe,
     "op8_simhash": op8_simhash,
+    "op9_warc": op9_warc,
 }
 CHECKS: dict[str, str] = {
     "op5_quality_rules": checks.QUALITY_RULES,
+    "op9_warc": checks.WARC,
 }

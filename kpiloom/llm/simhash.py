@@ -319,8 +319,8 @@ def groups(
         "rooted",
     )
     named = stage(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "named")
-    placed = stage(lookup(rooted.select("fp", "root"), named, "root", F.col("fp")).select("fp", "component_id"), "placed")
-    return lookup(rows, placed, "fp", F.col("doc_id")).select("doc_id", "fp", "component_id")
+    placed = stage(lookup(rooted.select("fp", "root"), named, "root").select("fp", "component_id"), "placed")
+    return lookup(rows, placed, "fp").select("doc_id", "fp", "component_id")
 
 
 def hex_digits(fp: Column) -> Column:
