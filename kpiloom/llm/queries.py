@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiloom.llm import bpe, checks, language_id, license_scan, packing, quality_rules, simhash, warc
+from kpiloom.llm import bpe, checks, language_id, license_scan, line_dedup, packing, quality_rules, simhash, warc
 
 
 def _table(spark: SparkSession, directory: str, name: str) -> DataFrame:
@@ -43,6 +43,10 @@ def op9_warc(spark: SparkSession, directory: str) -> DataFrame:
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_line_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    return line_dedup.repeats(_table(spark, directory, "documents"))
+
+
 QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_license_scan": op3_license_scan,
@@ -51,6 +55,7 @@ QUERIES = {
     "op7_bpe": op7_bpe,
     "op8_simhash": op8_simhash,
     "op9_warc": op9_warc,
+    "op10_line_dedup": op10_line_dedup,
 }
 CHECKS: dict[str, str] = {
     "op5_quality_rules": checks.QUALITY_RULES,
