@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiloom.llm import bpe, checks, language_id, license_scan, line_dedup, packing, quality_rules, simhash, warc
+from kpiloom.llm import bpe, checks, hilbert_shards, language_id, license_scan, line_dedup, packing, quality_rules, simhash, warc
 
 
 def _table(spark: SparkSession, directory: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op3_license_scan(spark: SparkSession, directory: str) -> DataFrame:
     return license_scan.scan(_table(spark, directory, "documents"))
 
 
+def op4_hilbert_shards(spark: SparkSession, directory: str) -> DataFrame:
+    return hilbert_shards.shard_documents(_table(spark, directory, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, directory: str) -> DataFrame:
     return quality_rules.judge(_table(spark, directory, "documents")).drop("reason")
 
@@ -50,6 +54,7 @@ def op10_line_dedup(spark: SparkSession, directory: str) -> DataFrame:
 QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_license_scan": op3_license_scan,
+    "op4_hilbert_shards": op4_hilbert_shards,
     "op5_quality_rules": op5_quality_rules,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_bpe": op7_bpe,
