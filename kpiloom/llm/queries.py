@@ -5,13 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiloom.llm import bpe, checks, hilbert_shards, language_id, license_scan, line_dedup, packing, quality_rules, simhash, warc
+from kpiloom.llm import bpe, checks, hilbert_shards, language_id, license_scan, line_dedup, packing, quality_rules, simhash, syncmers, warc
 
 
 def _table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+def op1_syncmers(spark: SparkSession, directory: str) -> DataFrame:
+    return syncmers.edit_likeness(_table(spark, directory, "documents"))
+
+
 def op2_language_id(spark: SparkSession, directory: str) -> DataFrame:
     docs = _table(spark, directory, "documents")
     return language_id.predict(docs, language_id.learn(docs))
@@ -52,6 +56,7 @@ def op10_line_dedup(spark: SparkSession, directory: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_syncmers": op1_syncmers,
     "op2_language_id": op2_language_id,
     "op3_license_scan": op3_license_scan,
     "op4_hilbert_shards": op4_hilbert_shards,
