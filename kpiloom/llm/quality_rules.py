@@ -157,26 +157,27 @@ def rule_order(docs: DataFrame, id: str = "doc_id", text: str = "text", rules: t
     """Rules by rejections per unit of work on a sample of at most ``SAMPLE_ROWS`` rows.
 
     Work of a rule: the mean over the sample of the steps that its features take; a
-    feature already paid for by an earlier rule is free.  One small job, one row back.
+    feature already paid for by an earlier rule is free.  Partitions are read one after
+    another until the sample is full, and only figures come back, no texts.
     """
     sample = (
         packed(docs, _id=id, _text=text)
         .select(text_of(F.col("_text")).alias("_text"), F.xxhash64("_id").alias("_pick"))
         .where(F.pmod("_pick", F.lit(SAMPLE_EVERY)) == 0)
-        .limit(SAMPLE_ROWS)
     )
     needed = list(dict.fromkeys(x for r in rules for x in _closure(r.needs)))
     frame = with_features(sample, needed)
     cols = _columns(frame)
-    figures = frame.agg(
-        *[F.avg(r.rejects(cols).cast("double")).alias(f"r_{r.name}") for r in rules],
-        *[F.avg(FEATURES[x].work(cols)).alias(f"w_{x}") for x in needed],
-    ).first()
+    rows = frame.select(
+        *[r.rejects(cols).cast("double").alias(f"r_{r.name}") for r in rules],
+        *[FEATURES[x].work(cols).cast("double").alias(f"w_{x}") for x in needed],
+    ).limit(SAMPLE_ROWS).collect()
+    figures = {c: sum(r[c] or 0.0 for r in rows) / len(rows) for c in (rows[0].asDict() if rows else ())}
     rest, done, order = list(rules), set(), []
     while rest:
         def gain(rule: Rule) -> float:
-            work = 1.0 + sum(figures[f"w_{x}"] or 0.0 for x in _closure(rule.needs) if x not in done)
-            return (figures[f"r_{rule.name}"] or 0.0) / work
+            work = 1.0 + sum(figures.get(f"w_{x}", 0.0) for x in _closure(rule.needs) if x not in done)
+            return figures.get(f"r_{rule.name}", 0.0) / work
 
         best = max(rest, key=gain)  # ties: the order of RULES
         order.append(best)
