@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import SPACES, packed, text_of, unpacked, words_of
+from kpiloom.llm.common import SPACES, packed, quoted, text_of, words_of
 
 #: Words in a window for ``n_repeat_words``.
 WINDOW = 5
@@ -144,12 +144,10 @@ def _columns(df: DataFrame) -> dict[str, Column]:
     return {c.removeprefix("_"): F.col(c) for c in df.columns}
 
 
-def with_features(df: DataFrame, names: list[str], when: Column | None = None) -> DataFrame:
-    """``df`` (with ``_text``) and the named features as ``_name``; null where ``when`` is false."""
+def with_features(df: DataFrame, names: list[str]) -> DataFrame:
+    """``df`` (with ``_text``) and the named features as ``_name``."""
     for name in names:
-        if f"_{name}" not in df.columns:
-            value = FEATURES[name].make(_columns(df))
-            df = df.withColumn(f"_{name}", value if when is None else F.when(when, value))
+        df = df.withColumn(f"_{name}", FEATURES[name].make(_columns(df)))
     return df
 
 
@@ -186,22 +184,31 @@ def rule_order(docs: DataFrame, id: str = "doc_id", text: str = "text", rules: t
     return order
 
 
-def cascade(df: DataFrame, order: list[Rule]) -> DataFrame:
-    """``df`` (with ``_text``) and ``_verdict``: the first rule in ``order`` that rejects, else null."""
-    df = df.withColumn("_verdict", F.lit(None).cast("string"))
-    for rule in order:
-        df = with_features(df, _closure(rule.needs), F.col("_verdict").isNull())
-        rejected = F.when(F.coalesce(rule.rejects(_columns(df)), F.lit(False)), F.lit(rule.name))
-        df = df.withColumn("_verdict", F.coalesce("_verdict", rejected))
-    return df
+def verdict(order: list[Rule], known: dict[str, Column]) -> Column:
+    """The first rule in ``order`` that rejects, else null, as one expression.
+
+    A feature is bound to a lambda variable in the branch of the first rule that needs
+    it: evaluated once, and only for rows that got there.  As one expression it grows
+    with the number of rules however the optimizer moves it about.
+    """
+    if not order:
+        return F.lit(None).cast("string")
+    rule = order[0]
+
+    def bound(names: list[str], cols: dict[str, Column]) -> Column:
+        if names:
+            made = F.array(FEATURES[names[0]].make(cols))
+            return F.transform(made, lambda v: bound(names[1:], {**cols, names[0]: v}))[0]
+        rejected = F.coalesce(rule.rejects(cols), F.lit(False))
+        return F.when(rejected, F.lit(rule.name)).otherwise(verdict(order[1:], cols))
+
+    return bound([x for x in _closure(rule.needs) if x not in known], known)
 
 
 def keep_good(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows of ``docs`` that no rule rejects, with the columns of ``docs``; no shuffle."""
-    judged = cascade(
-        packed(docs, _text=text).withColumn("_text", text_of(F.col("_text"))), rule_order(docs, id, text)
-    )
-    return unpacked(judged.where(F.col("_verdict").isNull()), docs.columns)
+    reason = verdict(rule_order(docs, id, text), {"text": text_of(quoted(text))})
+    return docs.where(reason.isNull())
 
 
 def judge(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -216,7 +223,7 @@ def judge(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     base = [r for r in RULES if r.name in BASE_RULES]
     cols = _columns(frame)
     frame = frame.withColumn("_base_failed", base[0].rejects(cols) | base[1].rejects(cols))
-    frame = cascade(frame, rule_order(docs, id, text))
+    frame = frame.withColumn("_verdict", verdict(rule_order(docs, id, text), cols))
     return frame.select(
         F.col("_id").alias("doc_id"),
         *[F.col(f"_{c}").cast("long").alias(c) for c in counts],
