@@ -1,39 +1,11 @@
 import random
 
+import brutes
 from corpus_samples import ODD_TEXTS
 
 from kpiloom.llm import line_dedup
 
 
-def brute(rows, least_run=line_dedup.LEAST_RUN):
-    """Text after cutting, for (id, text) rows, by one ordered pass."""
-    # ranks within one id go by a hash of the text; the tests below give one id one text
-    seen, out = set(), {}
-    for doc_id, text in sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0)):
-        if text is None:
-            out[doc_id, text] = None
-            continue
-        found = list(line_dedup.units(text))
-        flags = []
-        for _, _, _, digest in found:
-            flags.append(digest in seen)
-            seen.add(digest)
-        cut, i = [], 0
-        while i < len(found):
-            j = i
-            while j < len(found) and flags[j]:
-                j += 1
-            if j > i and sum(u[2] for u in found[i:j]) >= least_run:
-                cut.append((found[i][0], found[j - 1][1]))
-            i = max(j, i + 1)
-        at, parts = 0, []
-        for start, stop in cut:
-            parts.append(text[at:start])
-            at = stop
-        out[doc_id, text] = "".join(parts) + text[at:]
-    return out
-
-
 def sentences(rng, n):
     return " ".join(
         " ".join(f"w{rng.randrange(5000)}" for _ in range(rng.randint(1, 14))).capitalize() + rng.choice(".!?")
@@ -53,7 +25,7 @@ def test_against_brute_force(spark, docs_of):
         rows.append((100 + i, " ".join(words)))
     rows += [(200, rows[-1][1]), (201, rows[-2][1].upper()), (None, rows[-3][1]), (202, passages[0]), (202, passages[0])]
     docs = docs_of(rows)
-    want = brute(rows)
+    want = brutes.without_repeats(rows)
     got = [(r["doc_id"], r["text"]) for r in line_dedup.repeats(docs).collect()]
     assert sorted(got, key=repr) == sorted([(i, want[i, t]) for i, t in rows], key=repr)
     kept = line_dedup.remove_repeats(docs)
@@ -93,7 +65,7 @@ def test_hot_line_and_empty_table(spark, docs_of, monkeypatch):
     line = "This very line stands in all of the documents of the whole corpus, always in the same words.\n"
     rows = [(i, line + sentences(rng, 4)) for i in range(60)]
     got = {r["doc_id"]: r["text"] for r in line_dedup.repeats(docs_of(rows)).collect()}
-    want = brute(rows)
+    want = brutes.without_repeats(rows)
     assert got == {i: want[i, t] for i, t in rows}
     assert got[0] == rows[0][1] and all(line not in got[i] for i in range(1, 60))
     assert line_dedup.repeats(docs_of([])).count() == 0

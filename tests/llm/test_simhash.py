@@ -1,42 +1,14 @@
 import random
-import re
 
+import brutes
 import numpy as np
 import pytest
-import xxhash
 
 from kpiloom.llm import simhash
 from kpiloom.llm.components import components
 from corpus_samples import ODD_TEXTS
 
 
-def brute_fingerprint(text, k=3):
-    words = [w for w in re.split(r"[ \t\n\x0b\f\r]+", "".join(
-        c.lower() if c.isascii() else c for c in text or "")) if w]
-    if not words:
-        return 0
-    grams = [" ".join(words[i : i + k]) for i in range(len(words) - k + 1)] or [" ".join(words)]
-    hashes = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
-    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
-
-
-def brute_components(ids, fps, distance=2):
-    least = {}
-    for start in range(len(ids)):
-        if start in least:
-            continue
-        todo, seen = [start], {start}
-        while todo:
-            x = todo.pop()
-            for y in range(len(ids)):
-                if y not in seen and bin(fps[x] ^ fps[y]).count("1") <= distance:
-                    seen.add(y)
-                    todo.append(y)
-        for y in seen:
-            least[y] = min(ids[z] for z in seen)
-    return [least[i] for i in range(len(ids))]
-
-
 def flipped(fp, bits):
     for b in bits:
         fp ^= 1 << b
@@ -83,7 +55,7 @@ def test_groups_against_brute_force(spark, monkeypatch, crowded):
     nodes = spark.createDataFrame([(x,) for x in signed], "fp long").repartition(3)
     roots = {r["node"]: r["root"] for r in components(simhash.links(nodes)).collect()}
     named = [roots.get(x, x) for x in signed]
-    want = brute_components(list(range(len(signed))), unsigned)
+    want = brutes.components(list(range(len(signed))), unsigned)
     first = {}
     for name, w in zip(named, want):
         assert first.setdefault(name, w) == w
@@ -104,8 +76,8 @@ def test_query_rows_against_brute_force(spark, docs_of):
     docs = docs_of([(100 - i, t) for i, t in enumerate(texts)])
     got = {r["doc_id"]: (r["fp"] % (1 << 64), r["component_id"]) for r in simhash.groups(docs).collect()}
     ids = [100 - i for i in range(len(texts))]
-    fps = [brute_fingerprint(t) for t in texts]
-    assert got == dict(zip(ids, zip(fps, brute_components(ids, fps))))
+    fps = [brutes.fingerprint(t) for t in texts]
+    assert got == dict(zip(ids, zip(fps, brutes.components(ids, fps))))
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted({c for _, c in got.values()})
@@ -113,12 +85,12 @@ def test_query_rows_against_brute_force(spark, docs_of):
 
 def test_long_text_in_runs(monkeypatch):
     text = " ".join(f"w{i % 977} \n" for i in range(5000))
-    want = brute_fingerprint(text)
+    want = brutes.fingerprint(text)
     from kpiloom.llm import common
 
     monkeypatch.setattr(simhash, "word_runs", lambda data: common.word_runs(data, 100))
     monkeypatch.setattr(simhash, "HASHES", 64)
-    assert simhash.fingerprint(text) == want == brute_fingerprint(text)
+    assert simhash.fingerprint(text) == want == brutes.fingerprint(text)
 
 
 def test_empty_null_and_repeated(spark, docs_of):
