@@ -1,13 +1,14 @@
-"""Repeated lines, sentences and passages, found by hashing units.
-
-A text is cut into units at line ends, after sentence ends and before a word with a
-capital (so that a passage pasted into a line starts a unit of its own).  A unit is
-normalised (lower case, words only) and hashed to 128 bits; units of fewer than
-``LEAST_UNIT`` words are not looked at by themselves.  Digests are grouped over the
-whole corpus; the occurrence of lowest rank (id, text, offset) stays.  All later ones
-are candidates, and consecutive candidates, with the short units between them, form a
-run; runs of at least ``LEAST_RUN`` words are cut out of the text.  The cut places are
-returned as offsets into the original text, in code points.
+"""Repeated lines and passages, found by hashing units.
+
+Two kinds of units are hashed to 128 bits after normalising (lower case, words only):
+whole lines of at least ``LEAST_LINE`` words, and the clauses within them, cut after
+punctuation and before a word with a capital, so that a passage pasted into a line
+falls into units of its own; clauses of fewer than ``LEAST_UNIT`` words are not looked
+at by themselves.  Digests are grouped over the whole corpus; the occurrence of lowest
+rank (id, text, offset) stays.  All later ones are candidates: a line is cut as it is,
+and consecutive clauses, with the short ones between them, if together they have at
+least ``LEAST_RUN`` words.  The cut places are returned as offsets into the original
+text, in code points.
 
 Grouping is partial before the shuffle and the way back deals hot digests in turn, so
 a line that stands in a third of all documents lands in no task whole.
@@ -29,29 +30,42 @@ from pyspark.sql import types as T
 from kpiloom.llm.common import lookup, packed, ship, text_of, unpacked
 from kpiloom.session import stage
 
+LEAST_LINE = 8
 LEAST_UNIT = 4
 LEAST_RUN = 12
-_CUT = regex.compile(r"\n+|[.!?]+[\"')\]]*\s+|\s+(?=\p{Lu})")
+_CUT = regex.compile(r"[.!?,;:]+[\"')\]]*\s+|\s+(?=\p{Lu})")
+_LINE = regex.compile(r"[^\n]*\n+|[^\n]+")
 _WORD = regex.compile(r"\w+")
+CLAUSE, LINE = 0, 1
+
+
+def _digest(kind: int, words: list[str]) -> bytes:
+    return xxhash.xxh3_128_digest(" ".join(words).encode("utf-8", "surrogatepass"), kind)
 
 
 def units(text: str):
-    """Start, end, number of words and digest of the units that are long enough to count."""
-    at, size = 0, len(text)
-    for end in (*(m.end() for m in _CUT.finditer(text)), size):
-        if end - at >= 2 * LEAST_UNIT - 1:
+    """Kind, start, stop, first word, word after the last, and digest of the units that count."""
+    word = 0
+    for line in _LINE.finditer(text):
+        at, stop, first, whole = line.start(), line.end(), word, []
+        for end in (*(m.end() for m in _CUT.finditer(text, at, stop)), stop):
             words = _WORD.findall(text[at:end].lower())
             if len(words) >= LEAST_UNIT:
-                yield at, end, len(words), xxhash.xxh3_128_digest(" ".join(words).encode("utf-8", "surrogatepass"))
-        at = end
+                yield CLAUSE, at, end, word, word + len(words), _digest(CLAUSE, words)
+            whole += words
+            word += len(words)
+            at = end
+        if len(whole) >= LEAST_LINE:
+            yield LINE, line.start(), stop, first, word, _digest(LINE, whole)
 
 
 def unit_table(rows: DataFrame) -> DataFrame:
-    """One row per unit of ``doc`` and ``text``: ``doc, seq, start, stop, words, digest``."""
+    """One row per unit of ``doc`` and ``text``; ``seq`` numbers the units of a kind."""
     ship(rows.sparkSession)
+    names = ["kind", "seq", "start", "stop", "first_word", "last_word", "digest"]
+    kinds = [*[pa.int32()] * 6, pa.binary()]
     schema = T.StructType([
-        rows.schema["doc"], T.StructField("seq", T.IntegerType()), T.StructField("start", T.IntegerType()),
-        T.StructField("stop", T.IntegerType()), T.StructField("words", T.IntegerType()),
+        rows.schema["doc"], *[T.StructField(c, T.IntegerType()) for c in names[:-1]],
         T.StructField("digest", T.BinaryType()),
     ])
     frame = rows.select("doc", "text")
@@ -60,24 +74,24 @@ def unit_table(rows: DataFrame) -> DataFrame:
         for batch in batches:
             for low in range(0, batch.num_rows, 512):
                 part = batch.slice(low, 512)
-                row, seq, found = [], [], []
+                row, found = [], []
                 for k, x in enumerate(part.column(1)):
-                    for n, unit in enumerate(units(x.as_py())):
+                    seen = [0, 0]
+                    for kind, *rest in units(x.as_py()):
                         row.append(k)
-                        seq.append(n)
-                        found.append(unit)
-                columns = list(zip(*found)) or [[], [], [], []]
+                        found.append((kind, seen[kind], *rest))
+                        seen[kind] += 1
+                columns = list(zip(*found)) or [[]] * len(names)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(row, pa.int64())), pa.array(seq, pa.int32()),
-                     *[pa.array(c, pa.int32()) for c in columns[:3]], pa.array(columns[3], pa.binary())],
-                    ["doc", "seq", "start", "stop", "words", "digest"],
+                    [part.column(0).take(pa.array(row, pa.int64())), *[pa.array(c, t) for c, t in zip(columns, kinds)]],
+                    ["doc", *names],
                 )
 
     return frame.mapInArrow(run, schema)
 
 
 def repeated_spans(rows: DataFrame, least_run: int = LEAST_RUN) -> DataFrame:
-    """``doc, spans`` for documents that lose something; spans are sorted and disjoint."""
+    """``doc, spans`` for documents that lose something; spans are sorted, lines and runs may overlap."""
     all_units = stage(unit_table(rows), "units")
     firsts = stage(
         all_units.groupBy("digest")
@@ -87,31 +101,45 @@ def repeated_spans(rows: DataFrame, least_run: int = LEAST_RUN) -> DataFrame:
     later = lookup(
         all_units, firsts.select("digest", "first"), "digest", "inner", counts=firsts.select("digest", "n")
     ).where(~F.struct("doc", "start").eqNullSafe(F.col("first")))
-    in_doc = Window.partitionBy("doc").orderBy("seq")
-    runs = later.select("doc", "seq", "start", "stop", "words").dropDuplicates(["doc", "seq"]).withColumn(
-        "run", F.col("seq") - F.row_number().over(in_doc)
-    )
-    spans = runs.groupBy("doc", "run").agg(
-        F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("words").alias("words")
-    ).where(F.col("words") >= least_run)
+    in_doc = Window.partitionBy("doc", "kind").orderBy("seq")
+    run = F.when(F.col("kind") == LINE, F.col("seq")).otherwise(F.col("seq") - F.row_number().over(in_doc))
+    runs = later.drop("digest", "first").dropDuplicates(["doc", "kind", "seq"]).withColumn("run", run)
+    spans = runs.groupBy("doc", "kind", "run").agg(
+        F.min("start").alias("start"), F.max("stop").alias("stop"),
+        (F.max("last_word") - F.min("first_word")).alias("words"),
+    ).where((F.col("kind") == LINE) | (F.col("words") >= least_run))
     return spans.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans"))
 
 
+def joined(places: list[dict]) -> list[dict]:
+    """Sorted places, those that overlap or touch made one."""
+    out: list[dict] = []
+    for place in places:
+        if out and place["start"] <= out[-1]["stop"]:
+            out[-1]["stop"] = max(out[-1]["stop"], place["stop"])
+        else:
+            out.append(dict(place))
+    return out
+
+
 def _cut(frame: DataFrame) -> DataFrame:
-    """``_text`` without the places in ``spans``."""
+    """``_text`` without the places in ``spans``, which are made disjoint."""
     names = frame.columns
     text_at, spans_at = names.index("_text"), names.index("spans")
 
     def run(batches):
         for batch in batches:
-            texts = []
+            texts, spans = [], []
             for x, places in zip(batch.column(text_at), batch.column(spans_at)):
                 text, at, parts = x.as_py(), 0, []
-                for place in places.as_py() or ():
+                spans.append(joined(places.as_py() or []))
+                for place in spans[-1]:
                     parts.append(text[at : place["start"]])
                     at = place["stop"]
                 texts.append(text if text is None else "".join(parts) + text[at:])
-            yield batch.set_column(text_at, batch.schema.field(text_at), pa.array(texts, pa.string()))
+            batch = batch.set_column(text_at, batch.schema.field(text_at), pa.array(texts, pa.string()))
+            field = batch.schema.field(spans_at)
+            yield batch.set_column(spans_at, field, pa.array(spans, field.type))
 
     return frame.mapInArrow(run, frame.schema)
 

@@ -66,22 +66,21 @@ def without_repeats(rows, least_run=line_dedup.LEAST_RUN):
         if text is None:
             out[doc_id, text] = None
             continue
-        found = list(line_dedup.units(text))
-        flags = []
-        for _, _, _, digest in found:
-            flags.append(digest in seen)
+        later = []
+        for kind, start, stop, first, last, digest in line_dedup.units(text):
+            later.append((kind, start, stop, first, last, digest in seen))
             seen.add(digest)
-        cut, i = [], 0
-        while i < len(found):
+        gone = set()
+        for kind, start, stop, *_, repeated in later:
+            if kind == line_dedup.LINE and repeated:
+                gone.update(range(start, stop))
+        clauses, i = [u for u in later if u[0] == line_dedup.CLAUSE], 0
+        while i < len(clauses):
             j = i
-            while j < len(found) and flags[j]:
+            while j < len(clauses) and clauses[j][-1]:
                 j += 1
-            if j > i and sum(u[2] for u in found[i:j]) >= least_run:
-                cut.append((found[i][0], found[j - 1][1]))
+            if j > i and clauses[j - 1][4] - clauses[i][3] >= least_run:
+                gone.update(range(clauses[i][1], clauses[j - 1][2]))
             i = max(j, i + 1)
-        at, parts = 0, []
-        for start, stop in cut:
-            parts.append(text[at:start])
-            at = stop
-        out[doc_id, text] = "".join(parts) + text[at:]
+        out[doc_id, text] = "".join(c for k, c in enumerate(text) if k not in gone)
     return out
