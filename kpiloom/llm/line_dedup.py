@@ -129,17 +129,18 @@ def _cut(frame: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            texts, spans = [], []
-            for x, places in zip(batch.column(text_at), batch.column(spans_at)):
-                text, at, parts = x.as_py(), 0, []
-                spans.append(joined(places.as_py() or []))
-                for place in spans[-1]:
-                    parts.append(text[at : place["start"]])
-                    at = place["stop"]
-                texts.append(text if text is None else "".join(parts) + text[at:])
-            batch = batch.set_column(text_at, batch.schema.field(text_at), pa.array(texts, pa.string()))
-            field = batch.schema.field(spans_at)
-            yield batch.set_column(spans_at, field, pa.array(spans, field.type))
+            for low in range(0, batch.num_rows, 512):
+                part, texts, spans = batch.slice(low, 512), [], []
+                for x, places in zip(part.column(text_at), part.column(spans_at)):
+                    text, at, parts = x.as_py(), 0, []
+                    spans.append(joined(places.as_py() or []))
+                    for place in spans[-1]:
+                        parts.append(text[at : place["start"]])
+                        at = place["stop"]
+                    texts.append(text if text is None else "".join(parts) + text[at:])
+                part = part.set_column(text_at, part.schema.field(text_at), pa.array(texts, pa.string()))
+                field = part.schema.field(spans_at)
+                yield part.set_column(spans_at, field, pa.array(spans, field.type))
 
     return frame.mapInArrow(run, frame.schema)
 
