@@ -73,7 +73,7 @@ SELECT event_id AS learning_id,
     ELSE 'energy_eff' END AS signature_csv,
   CASE WHEN event_id % 10 = 0 THEN '' ELSE concat('note ', CAST(event_id AS string)) END AS citation,
   (event_id % 11) * 1e-1 AS confidence
-FROM {kpi} WHERE NOT is_anomaly AND event_id % 20 IN (0, 3, 6, 9)
+FROM {kpi} WHERE NOT is_anomaly
 """
 
 
