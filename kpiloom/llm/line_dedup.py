@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kpiloom.llm.common import lookup, packed, ship, text_of, unpacked
+from kpiloom.llm.common import lookup, packed, ship, unpacked
 from kpiloom.session import stage
 
 LEAST_LINE = 8
@@ -149,15 +149,14 @@ def _marked(docs: DataFrame, id: str, text: str, least_run: int) -> DataFrame:
     """``_row``, ``_id``, ``_text`` (cut) and ``spans`` of every row."""
     doc = F.struct(F.col("_id").alias("id"), F.xxhash64("_text").alias("text")).alias("doc")
     frame = packed(docs, _id=id, _text=text)
-    spans = stage(
-        repeated_spans(frame.where(F.col("_text").isNotNull()).select(doc, text_of(F.col("_text")).alias("text")), least_run),
-        "spans",
-    )
+    rows = frame.where(F.col("_text").isNotNull()).select(doc, F.col("_text").alias("text"))
+    spans = stage(repeated_spans(rows, least_run), "spans")
     return _cut(lookup(frame.withColumn("doc", doc), spans, "doc").drop("doc"))
 
 
 def remove_repeats(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", n_chars: str | None = "n_chars", least_run: int = LEAST_RUN
+    docs: DataFrame, id: str = "doc_id", text: str = "text", n_chars: str | None = "n_chars",
+    least_run: int = LEAST_RUN,
 ) -> DataFrame:
     """``docs`` with repeated passages cut out of ``text`` and ``n_chars`` (if there) made to fit."""
     marked = _marked(docs, id, text, least_run)

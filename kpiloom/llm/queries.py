@@ -5,7 +5,19 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiloom.llm import bpe, checks, hilbert_shards, language_id, license_scan, line_dedup, packing, quality_rules, simhash, syncmers, warc
+from kpiloom.llm import (
+    bpe,
+    checks,
+    hilbert_shards,
+    language_id,
+    license_scan,
+    line_dedup,
+    packing,
+    quality_rules,
+    simhash,
+    syncmers,
+    warc,
+)
 
 
 def _table(spark: SparkSession, directory: str, name: str) -> DataFrame:
