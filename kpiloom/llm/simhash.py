@@ -332,5 +332,6 @@ def keep_one(
 ) -> DataFrame:
     """Rows of ``docs`` whose id is the smallest of its component; rows without any id in reach stay."""
     placed = stage(groups(docs, shingle, distance, id, text), "groups")
-    keepers = placed.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_keep"))
-    return docs.join(keepers, quoted(id).eqNullSafe(F.col("_keep")), "left_semi")
+    kept = max(["kept", *docs.columns], key=len) + "_"  # a name that no column has
+    keepers = placed.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(kept))
+    return docs.join(keepers, quoted(id).eqNullSafe(quoted(kept)), "left_semi")

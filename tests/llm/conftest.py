@@ -8,7 +8,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspa
 from pyspark.sql import types as T  # noqa: E402
 
 #: Columns whose names operators also use for what they make.
-CLASHING = ["size", "shard", "key", "fp", "words", "_row", "kept", "score"]
+CLASHING = ["size", "shard", "key", "fp", "words", "_row", "_text", "digest", "kept", "score"]
 
 DOCS = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
