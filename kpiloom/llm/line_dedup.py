@@ -1,14 +1,17 @@
 """Repeated lines and passages, found by hashing units.
 
 Two kinds of units are hashed to 128 bits after normalising (lower case, words only):
-whole lines of at least ``LEAST_LINE`` words, and the clauses within them, cut after
-punctuation and before a word with a capital, so that a passage pasted into a line
-falls into units of its own; clauses of fewer than ``LEAST_UNIT`` words are not looked
-at by themselves.  Digests are grouped over the whole corpus; the occurrence of lowest
-rank (id, text, offset) stays.  All later ones are candidates: a line is cut as it is,
-and consecutive clauses, with the short ones between them, if together they have at
-least ``LEAST_RUN`` words.  The cut places are returned as offsets into the original
-text, in code points.
+whole lines of at least ``LEAST_LINE`` words, and one unit per clause.  Clauses are
+cut after punctuation, before a word with a capital, and at line ends, so that a passage pasted into a line falls into
+units of its own.  A clause of fewer than ``LEAST_UNIT`` words is hashed together with
+the clauses after it, across lines, until there are that many; at the end of a text,
+together with those before it.  Marks alone go with the clause before.  So every word of
+a text stands in a unit, and lists,
+verse and menus have units too.  Digests are grouped over the whole corpus; the
+occurrence of lowest rank (id, text, offset) stays.  All later ones are candidates: a
+line is cut as it is, and the units of consecutive clauses, all of them repeated, if
+together they have at least ``LEAST_RUN`` words.  The cut places are returned as
+offsets into the original text, in code points.
 
 Grouping is partial before the shuffle and the way back deals hot digests in turn, so
 a line that stands in a third of all documents lands in no task whole.
@@ -36,27 +39,42 @@ LEAST_RUN = 12
 _CUT = regex.compile(r"[.!?,;:]+[\"')\]]*\s+|\s+(?=\p{Lu})")
 _LINE = regex.compile(r"[^\n]*\n+|[^\n]+")
 _WORD = regex.compile(r"\w+")
-CLAUSE, LINE = 0, 1
+CLAUSE, LINE, END = 0, 1, 2
 
 
-def _digest(kind: int, words: list[str]) -> bytes:
-    return xxhash.xxh3_128_digest(" ".join(words).encode("utf-8", "surrogatepass"), kind)
+def _digest(seed: int, words: list[str]) -> bytes:
+    return xxhash.xxh3_128_digest(" ".join(words).encode("utf-8", "surrogatepass"), seed)
 
 
 def units(text: str):
-    """Kind, start, stop, first word, word after the last, and digest of the units that count."""
-    word = 0
+    """Kind, start, stop, first word, word after the last, and digest of every unit, those of a kind in order."""
+    word, clauses, begin = 0, [], 0
     for line in _LINE.finditer(text):
         at, stop, first, whole = line.start(), line.end(), word, []
         for end in (*(m.end() for m in _CUT.finditer(text, at, stop)), stop):
             words = _WORD.findall(text[at:end].lower())
-            if len(words) >= LEAST_UNIT:
-                yield CLAUSE, at, end, word, word + len(words), _digest(CLAUSE, words)
-            whole += words
-            word += len(words)
+            if words:
+                clauses.append((begin, end, word, words))
+                whole += words
+                word += len(words)
+                begin = end
+            elif clauses:  # marks alone go with the clause before
+                clauses[-1] = (clauses[-1][0], end, *clauses[-1][2:])
+                begin = end
             at = end
         if len(whole) >= LEAST_LINE:
             yield LINE, line.start(), stop, first, word, _digest(LINE, whole)
+    for i, (at, end, first, words) in enumerate(clauses):
+        j = i + 1
+        while len(words) < LEAST_UNIT and j < len(clauses):
+            words, end, j = words + clauses[j][3], clauses[j][1], j + 1
+        last, seed, j = first + len(words), CLAUSE, i
+        if len(words) < LEAST_UNIT:  # an end meets only ends of as many words
+            seed = END + len(words)
+            while len(words) < LEAST_UNIT and j:
+                j -= 1
+                words = clauses[j][3] + words
+        yield CLAUSE, at, end, first, last, _digest(seed, words)
 
 
 def unit_table(rows: DataFrame) -> DataFrame:
