@@ -1,4 +1,4 @@
-"""Short pieces and unique middles; held against the texts alone, without ``units``."""
+"""Short pieces, unique middles and scripts without blanks; held against the texts alone, without ``units``."""
 
 import random
 import re
@@ -11,6 +11,8 @@ MENU = "\n".join("Home|About us|Our Team|Contact|Log in|Sign up|Terms of Use|Pri
 VERSE = "the moon,\nthe sea,\na sail,\nso still,\nno wind,\nno word,\nand then,\na bell,\nfar off,\nrings on,\n"
 ITEMS = "apples, pears, plums, figs, dates, limes, kiwis, nuts, oats, rye, barley, millet, spelt, rice, "
 TITLES = "Every Good Boy Does Fine And All Cows Eat Grass While Great Big Dogs Fight Animals "
+CHINESE = "我们今天讨论数据处理的方法，首先要读取所有文件，然后删除重复的段落。最后把结果写入新的表格！"
+THAI = "ประเทศไทยมีอากาศร้อน เมืองหลวงคือกรุงเทพมหานคร ผู้คนชอบกินข้าวกับปลา "
 OPEN = "It was on a cold and early morning that all of us left the harbour for good.\n"
 CLOSE = "Nobody who saw the old ship leave has ever heard from her crew after that day."
 
@@ -26,6 +28,7 @@ def prose(rng, n=3):
 @pytest.mark.parametrize("middle", [
     ", ".join(f"item{i}" for i in range(40)) + ".\n",
     "".join(f"Row {i}\n" for i in range(40)),
+    "\U0001f600, \U0001f680, ★, ∑, \n",
     "No. Never.\n",
 ])
 def test_a_unique_middle_of_short_pieces_stays(spark, docs_of, middle):
@@ -48,7 +51,7 @@ def test_a_line_of_short_clauses_does_not_vanish(spark, docs_of):
     assert [line in got[i]["text"] for i in range(3)] == [False, True, False]
 
 
-@pytest.mark.parametrize("passage", [MENU, VERSE, ITEMS, TITLES])
+@pytest.mark.parametrize("passage", [MENU, VERSE, ITEMS, TITLES, CHINESE, THAI])
 def test_a_repeated_passage_of_short_pieces_goes(spark, docs_of, passage):
     rng = random.Random(4)
     texts = [f"{prose(rng)}\n{passage}\n{prose(rng)}" for _ in range(4)]
@@ -61,6 +64,13 @@ def test_a_repeated_passage_of_short_pieces_goes(spark, docs_of, passage):
         assert len(left) - len(head) - len(tail) < 16  # at most a short last clause stays
 
 
+def test_passages_inside_lines_without_blanks(spark, docs_of):
+    texts = [f"{a}{CHINESE}{b}" for a, b in (("北京欢迎你。", "再见。"), ("上海是一座大城市，", "明天见！"), ("山。", "水。"))]
+    got = cut_of(docs_of(texts))
+    assert [got[i]["text"].replace(CHINESE, "") for i in range(3)] == [t.replace(CHINESE, "") for t in texts]
+    assert [CHINESE in got[i]["text"] for i in range(3)] == [True, False, False]
+
+
 def test_every_cut_word_stood_earlier_with_its_neighbours(spark, docs_of):
     rng = random.Random(9)
     pieces = [MENU, VERSE, ITEMS, TITLES, OPEN, CLOSE]
