@@ -40,3 +40,37 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN payload_bytes >= 100 AND first_id <> page_id THEN first_id END AS refers_to
 FROM f
 """
+
+COLLOCATIONS = r"""
+WITH t AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(x, '[.,;:!?\x0A-\x0D]')) AS p FROM t),
+w AS (SELECT lang, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda v: v <> '') AS ws FROM pieces),
+ends AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+grams AS (
+  SELECT lang, s AS size, array_to_string(ws[i - s + 1:i], ' ') AS phrase
+  FROM ends, (SELECT unnest(range(1, 5)) AS s) WHERE i >= s),
+f AS (SELECT lang, size, phrase, CAST(count(*) AS BIGINT) AS a FROM grams GROUP BY ALL HAVING count(*) >= 30),
+totals AS (SELECT lang, CAST(count(*) AS BIGINT) AS n FROM ends GROUP BY lang),
+cand AS (SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE size > 1),
+cuts AS (SELECT *, unnest(range(1, size)) AS k FROM cand),
+scored AS (
+  SELECT c.lang, c.size, c.phrase, c.a, c.k, x.a AS l, y.a AS r,
+    CAST(CAST(c.a AS HUGEINT) * 2000000 // (CAST(x.a AS HUGEINT) + y.a) AS BIGINT) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.ws[1:c.k], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.ws[c.k + 1:c.size], ' ')),
+weakest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+places AS (SELECT lang, a, ws, size, unnest(range(1, size)) AS i FROM cand WHERE size > 2),
+inner_phrases AS (
+  SELECT lang, a, array_to_string(ws[i:i + m - 1], ' ') AS phrase
+  FROM places, (SELECT unnest(range(2, 4)) AS m) WHERE m < size AND i + m - 1 <= size),
+covering AS (SELECT lang, phrase, max(a) AS longer FROM inner_phrases GROUP BY ALL),
+kept AS (
+  SELECT s.* FROM weakest s LEFT JOIN covering c USING (lang, phrase)
+  WHERE c.longer IS NULL OR CAST(c.longer AS HUGEINT) * 100 < CAST(s.a AS HUGEINT) * 80)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+  phrase, a, l, r, n, score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
+"""

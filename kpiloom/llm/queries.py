@@ -13,8 +13,11 @@ from kpiloom.llm import (
     license_scan,
     line_dedup,
     packing,
+    phrases,
+    quality_classifier,
     quality_rules,
     simhash,
+    spelling,
     syncmers,
     warc,
 )
@@ -67,6 +70,19 @@ def op10_line_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return line_dedup.repeats(_table(spark, directory, "documents"))
 
 
+def op11_collocations(spark: SparkSession, directory: str) -> DataFrame:
+    return phrases.collocations(_table(spark, directory, "documents"))
+
+
+def op12_quality_classifier(spark: SparkSession, directory: str) -> DataFrame:
+    docs = _table(spark, directory, "documents")
+    return quality_classifier.score_documents(docs, quality_classifier.learn(docs, _table(spark, directory, "labels")))
+
+
+def op13_spelling_variants(spark: SparkSession, directory: str) -> DataFrame:
+    return spelling.variants(_table(spark, directory, "documents"))
+
+
 QUERIES = {
     "op1_syncmers": op1_syncmers,
     "op2_language_id": op2_language_id,
@@ -78,8 +94,12 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_warc": op9_warc,
     "op10_line_dedup": op10_line_dedup,
+    "op11_collocations": op11_collocations,
+    "op12_quality_classifier": op12_quality_classifier,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 CHECKS: dict[str, str] = {
     "op5_quality_rules": checks.QUALITY_RULES,
     "op9_warc": checks.WARC,
+    "op11_collocations": checks.COLLOCATIONS,
 }
