@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kpiloom.functions import expr as E
 from kpiloom.operators.features import add_slot, anomalies, first_per_group
+from kpiloom.operators.sliding import last_in_window
 
 
 def incident_slots(
@@ -97,11 +98,11 @@ def after_row(
     entity: str = "cell_name",
     ts: str = "ts",
     tiebreak: str = "event_id",
+    columns: list[str] | None = None,
 ) -> DataFrame:
     """The last sample within the look-ahead interval of each case.
 
     The interval holds the sample at t0 itself, so every case that starts at one
     of its samples has a row.
     """
-    ahead = interval_join(cases, samples, 0, seconds, entity, ts)
-    return first_per_group(ahead, ["case_id"], [F.desc(ts), F.desc(tiebreak)])
+    return last_in_window(cases, samples, 0, seconds, columns, entity, ts, tiebreak)

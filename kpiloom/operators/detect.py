@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from kpiloom import fixed_values as fv
 from kpiloom.functions import expr as E
 from kpiloom.operators.features import fill_features, first_per_group, with_baseline
+from kpiloom.operators.sliding import PARTS, window_aggregates
 from kpiloom.session import stage
 
 # Hash prefix used to cut the row order into even buckets: 4 hex digits = 65,536.
@@ -128,6 +129,26 @@ def detect_batches(scored: DataFrame, case: str = "case_id", only_anomalous: boo
     return rolled.filter("is_anomaly_any") if only_anomalous else rolled
 
 
+def detection_values() -> dict[str, tuple[Column, str]]:
+    """What :func:`detect_windows` gathers over the samples of a window."""
+    return {
+        "_any": (F.col("prediction"), "max"),
+        "anomaly_count": (F.col("prediction").cast("bigint"), "sum"),
+        "max_probability": (F.col("probability"), "max"),
+    }
+
+
+def detect_windows(
+    cases: DataFrame, scored: DataFrame, before_seconds: int, after_seconds: int = 0, only_anomalous: bool = True,
+    entity: str = "cell_name", ts: str = "ts", parts: int = PARTS,
+) -> DataFrame:
+    """:func:`detect_batches` of each case's window, without building the batches."""
+    values = detection_values() | {"n_samples": (F.lit(1).cast("bigint"), "sum")}
+    rolled = window_aggregates(cases, scored, before_seconds, after_seconds, values, entity, ts, parts)
+    rolled = rolled.select("case_id", (F.col("_any") > 0).alias("is_anomaly_any"), "anomaly_count", "max_probability", "n_samples")
+    return rolled.filter("is_anomaly_any") if only_anomalous else rolled
+
+
 def anomaly_samples(
     scored: DataFrame, case: str = "case_id", ts: str = "ts", tiebreak: str = "event_id", n: int = 3,
     metrics: list[str] = fv.SAMPLE_METRICS,

@@ -17,6 +17,7 @@ from kpiloom import fixed_values as fv
 from kpiloom.functions import expr as E
 from kpiloom.operators.features import numeric_features
 from kpiloom.operators.percentiles import LARGE_GROUP, group_percentiles
+from kpiloom.operators.sliding import PARTS, window_aggregates
 
 
 # ---- per-incident batches ------------------------------------------------------------------
@@ -42,6 +43,36 @@ def batch_quality(batches: DataFrame, features: list[str], case: str = "case_id"
     )
 
 
+def window_values(features: list[str]) -> dict[str, tuple[Column, str]]:
+    """What :func:`window_quality` sums over the samples of a window."""
+    return {
+        "n_rows": (F.lit(1).cast("bigint"), "sum"),
+        "_missing": (E.missing_count(features).cast("bigint"), "sum"),
+    }
+
+
+def window_share(features: list[str]) -> Column:
+    """Missing share of a window from its sums."""
+    return F.col("_missing") / (F.col("n_rows") * F.lit(float(len(features))))
+
+
+def window_quality(
+    cases: DataFrame, samples: DataFrame, features: list[str], before_seconds: int, after_seconds: int = 0,
+    entity: str = "cell_name", ts: str = "ts", parts: int = PARTS,
+) -> DataFrame:
+    """:func:`batch_quality` of each case's window, without building the batches."""
+    summed = window_aggregates(
+        cases, samples, before_seconds, after_seconds, window_values(features), entity, ts, parts
+    ).withColumn("_share", window_share(features))
+    return summed.select(
+        "case_id",
+        "n_rows",
+        (F.col("_share") * 100).alias("missing_pct"),
+        F.lit(fv.ISSUE_BASIC_CHECK).alias("issues"),
+        E.severity("_share").alias("severity"),
+    )
+
+
 def batch_stats(batches: DataFrame, features: list[str], case: str = "case_id", n_stats: int = 5) -> DataFrame:
     """Rows per batch; mean, missing count and missing percent of the first features."""
     shown = features[:n_stats]
@@ -59,6 +90,27 @@ def batch_stats(batches: DataFrame, features: list[str], case: str = "case_id",
     )
 
 
+def window_stats(
+    cases: DataFrame, samples: DataFrame, features: list[str], before_seconds: int, after_seconds: int = 0,
+    n_stats: int = 5, entity: str = "cell_name", ts: str = "ts", parts: int = PARTS,
+) -> DataFrame:
+    """:func:`batch_stats` of each case's window, without building the batches."""
+    shown = features[:n_stats]
+    values: dict[str, tuple[Column, str]] = {"total_rows": (F.lit(1).cast("bigint"), "sum")}
+    for c in shown:
+        values |= {f"_sum_{c}": (F.col(c).cast("double"), "sum"), f"_n_{c}": (F.col(c).isNotNull().cast("bigint"), "sum")}
+    summed = window_aggregates(cases, samples, before_seconds, after_seconds, values, entity, ts, parts)
+    columns = []
+    for c in shown:
+        missing = F.col("total_rows") - F.col(f"_n_{c}")
+        columns += [
+            F.try_divide(F.col(f"_sum_{c}"), F.col(f"_n_{c}")).alias(f"{c}_mean"),
+            missing.alias(f"{c}_missing"),
+            (missing / F.col("total_rows") * 100).alias(f"{c}_missing_pct"),
+        ]
+    return summed.select("case_id", "total_rows", *columns, E.lit_array(features[:10]).alias("columns"))
+
+
 # ---- whole-table reports -------------------------------------------------------------------
 
 def duplicate_count(df: DataFrame) -> DataFrame:

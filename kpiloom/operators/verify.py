@@ -36,6 +36,23 @@ def verification_context(
     """Long form: one row per case and metric with its three values."""
     metrics = [m for m in metrics if m in before.columns]
     wide = verification_wide(before, after, baselines, metrics, entity, case)
+    return _long(wide, metrics, entity, case)
+
+
+def window_context(
+    windows: DataFrame, baselines: DataFrame, metrics: list[str] = fv.VERIFY_METRICS, entity: str = "cell_name",
+    case: str = "case_id",
+) -> DataFrame:
+    """:func:`verification_context` of structs ``before`` and ``after`` that are in one row already: no join but the baseline's."""
+    wide = windows.where(F.col("before").isNotNull()).select(
+        case, entity,
+        *[F.col("before")[m].alias(f"before_{m}") for m in metrics],
+        *[F.coalesce("after", "before")[m].alias(f"after_{m}") for m in metrics],
+    )
+    return _long(with_baseline(wide, baselines, metrics, entity), metrics, entity, case)
+
+
+def _long(wide: DataFrame, metrics: list[str], entity: str, case: str) -> DataFrame:
     rows = [
         F.struct(
             F.lit(m).alias("metric"),

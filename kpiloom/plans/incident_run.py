@@ -28,6 +28,7 @@ from kpiloom.operators import (
     quality,
     report,
     responses,
+    sliding,
     verify,
 )
 from kpiloom.session import stage
@@ -78,12 +79,12 @@ def build_cases(
     if num_cases is not None:
         found = cases.take_cases(found, num_cases, entity)
     found = stage(cases.as_cases(found, entity), "incidents")
-    # One aggregate over the joined batches; the batches themselves are never stored.
+    # Two passes over the samples, however many cases: sums of each lookback, and the rows at its end and ahead.
+    values = quality.window_values(used) | detect.detection_values()
     rolled = (
-        cases.lookback_batch(found, scored, lookback_seconds, entity)
-        .groupBy("case_id")
-        .agg(*quality.quality_aggregates(used), *detect.detection_aggregates())
-        .filter("is_anomaly_any")
+        sliding.window_aggregates(found, scored, lookback_seconds, 0, values, entity)
+        .filter("_any > 0")
+        .withColumn("_share", quality.window_share(used))
         .select(
             "case_id",
             F.struct(
@@ -92,15 +93,17 @@ def build_cases(
                 F.array(F.lit(fv.ISSUE_BASIC_CHECK)).alias("issues"),
                 E.severity("_share").alias("severity"),
             ).alias("quality"),
-            F.struct("is_anomaly_any", "anomaly_count", "max_probability").alias("detection"),
+            F.struct(F.lit(True).alias("is_anomaly_any"), "anomaly_count", "max_probability").alias("detection"),
         )
     )
+    windows = {"before": (lookback_seconds, 0), "after": (0, ahead_seconds)}
+    rows = stage(sliding.last_in_windows(found, scored, windows, entity=entity), "case-windows")
     if "quality" in answers:
         rolled = stage(rolled, "rolled")
         sized = answers["quality"].join(rolled.select("case_id", "quality.n_rows"), "case_id")
         rolled = responses.coalesce_response(rolled, responses.quality_response(sized), "quality").drop("source")
 
-    last = cases.row_at_start(found, scored, entity).join(rolled, "case_id")
+    last = rows.select("case_id", entity, "t0", "before.*").join(rolled, "case_id")
     profiled = fingerprint.fingerprint(last, baselines, entity=entity)
     if "profiler" in answers:
         listed = responses.signal_response(answers["profiler"])
@@ -147,8 +150,9 @@ def build_cases(
     if "verifier" in answers:
         verdicts = responses.verdict_response(answers["verifier"])
         table = table.join(verdicts.select("case_id", "closed", "residual_risk"), "case_id", "left")
-    after = cases.after_row(found, scored, ahead_seconds, entity)
-    context = verify.kpi_improvements(verify.verification_context(before, after, baselines, entity=entity))
+    metrics = [m for m in fv.VERIFY_METRICS if m in scored.columns]
+    reported = rows.join(before.select("case_id"), "case_id", "left_semi")
+    context = verify.kpi_improvements(verify.window_context(reported, baselines, metrics, entity))
     return table, context
 
 

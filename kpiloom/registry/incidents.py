@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from kpiloom import fixed_values as fv
 from kpiloom.functions import expr as E
-from kpiloom.operators import cases, detect, diagnose, features, fingerprint, quality, report, verify
+from kpiloom.operators import cases, detect, diagnose, features, fingerprint, quality, report, sliding, verify
 from kpiloom.registry.base import check_sql, query, r, rounded, rs
 from kpiloom.registry.inputs import SIX_HOURS, anomalies_profiled, baselines, batches, incidents, kpi_r
 from kpiloom.session import stage, stage_path
@@ -34,11 +34,13 @@ def lookback_6h(spark, d):
 
 @query("before_rows", check_sql(f"SELECT case_id, event_id, {rs(fv.KPIS)} FROM before_r", "before_r"))
 def before_rows(spark, d):
-    return rounded(cases.before_row(batches(spark, d)).select("case_id", "event_id", *fv.KPIS))
+    found = cases.as_cases(incidents(spark, d))
+    return rounded(sliding.last_in_window(found, kpi_r(spark, d), SIX_HOURS, 0, ["event_id", *fv.KPIS]).drop("cell_name", "t0"))
 
 
 def _after(spark, d):
-    return cases.after_row(cases.as_cases(incidents(spark, d)), kpi_r(spark, d), SIX_HOURS)
+    found = cases.as_cases(incidents(spark, d))
+    return cases.after_row(found, kpi_r(spark, d), SIX_HOURS, columns=["event_id", *fv.KPIS])
 
 
 @query("after_rows", check_sql(f"SELECT case_id, event_id, {rs(fv.KPIS)} FROM after_r", "after_r"))
@@ -52,7 +54,7 @@ def after_rows(spark, d):
     "AND s.ts BETWEEN c.ts AND c.ts + INTERVAL 15 MINUTE) x GROUP BY case_id", "incidents"))
 def after_rows_15min(spark, d):
     found = cases.as_cases(incidents(spark, d))
-    return cases.after_row(found, kpi_r(spark, d)).select("case_id", "event_id", "ts")
+    return cases.after_row(found, kpi_r(spark, d), columns=["event_id", "ts"]).select("case_id", "event_id", "ts")
 
 
 _MISS = " + ".join(f"CAST({c} IS NULL AS int)" for c in fv.KPIS)
@@ -64,7 +66,7 @@ _MISS = " + ".join(f"CAST({c} IS NULL AS int)" for c in fv.KPIS)
     f"(SELECT case_id, count(*) AS n_rows, avg(({_MISS}) / {float(len(fv.KPIS))!r}::double) AS m FROM back "
     "GROUP BY case_id) x", "back"))
 def batch_quality(spark, d):
-    return rounded(quality.batch_quality(batches(spark, d), fv.KPIS))
+    return rounded(quality.window_quality(cases.as_cases(incidents(spark, d)), kpi_r(spark, d), fv.KPIS, SIX_HOURS))
 
 
 _SHOWN = fv.KPIS[:5]
@@ -76,7 +78,7 @@ _SHOWN = fv.KPIS[:5]
         f"{r(f'(count(*) - count({c})) * 1e2 / count(*)', f'{c}_missing_pct')}" for c in _SHOWN)
     + f", '{','.join(fv.KPIS[:10])}' AS columns FROM back GROUP BY case_id", "back"))
 def batch_stats(spark, d):
-    stats = quality.batch_stats(batches(spark, d), fv.KPIS)
+    stats = quality.window_stats(cases.as_cases(incidents(spark, d)), kpi_r(spark, d), fv.KPIS, SIX_HOURS)
     return rounded(stats.withColumn("columns", F.array_join("columns", ",")))
 
 
@@ -207,7 +209,7 @@ _SB = (
     f"{r('max(probability)', 'max_probability')}, count(*) AS n_samples FROM sb GROUP BY case_id "
     "HAVING max(prediction) > 0", "incidents", "scored", sb=_SB))
 def detect_batches(spark, d):
-    return rounded(detect.detect_batches(_scored_batches(spark, d)))
+    return rounded(detect.detect_windows(cases.as_cases(incidents(spark, d)), _scored(spark, d), SIX_HOURS))
 
 
 @query("anomaly_samples", check_sql(
@@ -325,7 +327,11 @@ _CTX = " UNION ALL ".join(
 
 
 def context(spark, d):
-    return verify.verification_context(cases.before_row(batches(spark, d)), _after(spark, d), baselines(spark, d))
+    found = cases.as_cases(incidents(spark, d))
+    windows = {"before": (SIX_HOURS, 0), "after": (0, SIX_HOURS)}
+    metrics = [m for m in fv.VERIFY_METRICS if m in fv.KPIS]
+    both = sliding.last_in_windows(found, kpi_r(spark, d), windows, metrics)
+    return verify.window_context(both, baselines(spark, d), metrics)
 
 
 @query("verification_context", check_sql(
