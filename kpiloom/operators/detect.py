@@ -222,35 +222,50 @@ def classification_report(scored: DataFrame, label: str = "is_anomaly", predicti
     )
 
 
+#: Distinct scores of a range of the ROC area, and ranges at most.
+RANGE_SCORES = 200_000
+MOST_RANGES = 10_000
+
+
 def roc_auc(scored: DataFrame, label: str = "is_anomaly", probability: str = "probability",
-            buckets: int = 10_000) -> DataFrame:
+            range_scores: int = RANGE_SCORES) -> DataFrame:
     """Exact area under the ROC curve; ties count half; NULL with a single class.
 
     Scores collapse to one row per distinct value, so a value shared by a third
-    of all rows is one row.  Running counts are taken inside score buckets and
-    carried across them, where there are at most ``buckets`` rows.
+    of all rows is one row.  Distinct scores are cut into even ranges at bounds
+    drawn from the scores themselves, wherever these lie; running counts are taken
+    inside each range and carried across the ranges.  Rows without a score or a label are
+    left out.
     """
     y = F.col(label).cast("int")
-    points = scored.groupBy(F.col(probability).alias("_s")).agg(
-        F.sum(y).alias("_pos"), F.sum(1 - y).alias("_neg")
-    ).withColumn(
-        "_b", F.greatest(F.lit(0), F.least(F.lit(buckets - 1), F.floor(F.col("_s") * buckets))).cast("int")
+    points = stage(
+        scored.filter(F.col(probability).isNotNull() & F.col(label).isNotNull())
+        .groupBy(F.col(probability).cast("double").alias("_s"))
+        .agg(F.sum(y).alias("_pos"), F.sum(1 - y).alias("_neg")),
+        "scores",
     )
-    below = Window.partitionBy("_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = min(MOST_RANGES, -(-points.count() // range_scores))
+    if ranges > 1:
+        points = points.repartitionByRange(ranges, "_s").withColumn("_r", F.spark_partition_id())
+        # written, so that the ranges stay what they are when a task is repeated
+        points = stage(points, "score-ranges")
+    else:
+        points = points.withColumn("_r", F.lit(0))
+    below = Window.partitionBy("_r").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
     inside = points.withColumn("_neg_below", F.coalesce(F.sum("_neg").over(below), F.lit(0)))
-    per_bucket = inside.groupBy("_b").agg(
+    per_range = inside.groupBy("_r").agg(
         F.sum("_pos").alias("_pos"),
         F.sum("_neg").alias("_neg"),
         F.sum(F.col("_pos") * (F.col("_neg_below") + F.col("_neg") / 2)).alias("_wins"),
     )
-    # At most ``buckets`` rows remain here.
-    lower = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    carried = per_bucket.withColumn("_carry", F.coalesce(F.sum("_neg").over(lower), F.lit(0)))
+    # At most ``MOST_RANGES`` rows remain here.
+    lower = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    carried = per_range.withColumn("_carry", F.coalesce(F.sum("_neg").over(lower), F.lit(0)))
     return carried.agg(
         F.try_divide(
             F.sum(F.col("_wins") + F.col("_pos") * F.col("_carry")), F.sum("_pos").cast("double") * F.sum("_neg")
         ).alias("roc_auc"),
-        F.sum(F.col("_pos") + F.col("_neg")).alias("n_rows"),
+        F.coalesce(F.sum(F.col("_pos") + F.col("_neg")), F.lit(0)).alias("n_rows"),
     )
 
 

@@ -6,13 +6,17 @@ distinct values, and fails for a group holding a third of a huge table of
 readings.  So rows and distinct values (a bounded sketch) are checked first, and
 only large groups take the selection path, for their many-valued columns:
 
-1. one bounded sketch per group gives a narrow value band around each target rank;
-2. one partial aggregate counts the values below and inside each band, which says
-   between which two limits the target ranks really lie (the sketch may be off:
-   then the limits are wider, the result is the same);
-3. only values between the limits are counted per distinct value and ranked.
-
-Passes 1 and 2 shuffle one row per group and task, pass 3 a tiny share of the data.
+1. the rows of large groups are written once, with nothing but the columns in question;
+2. one bounded sketch per group gives a narrow value band around each target rank, and
+   one partial aggregate counts the values below and inside each band, which says
+   between which two limits the target ranks really lie (the sketch may be off: then
+   the limits are wider, the result is the same);
+3. values between the limits collapse to distinct ones with their counts.  While a target
+   keeps more than ``RANKED_VALUES`` of them, a histogram of them (equally many distinct
+   values to a bin) says in which bin the rank lies, and only that bin goes on;
+4. what is left is ranked, so a ranking task has a fixed bound whatever the group.
+
+Pass 2 shuffles one row per group and task, pass 3 a tiny share of the data.
 """
 
 from __future__ import annotations
@@ -26,10 +30,11 @@ from kpiloom.session import broadcast_if_small, stage
 
 #: Rows, and distinct values of a column, up to which one buffer may hold a group.
 LARGE_GROUP = 20_000
-#: Rank error of a sketch is 1 / accuracy.  The band reaches twice that far on each
-#: side; its rows meet in one task, so the accuracy grows with the largest group.
+#: Rank error of a sketch is 1 / accuracy; the band reaches twice that far on each side.
 SKETCH_ACCURACY = 2_000
-MAX_ACCURACY = 50_000
+#: Distinct values that one task ranks at most, and bins of a histogram that narrows more of them.
+RANKED_VALUES = 100_000
+BINS = 64
 
 _ALL = "_all_rows"
 
@@ -40,6 +45,7 @@ def group_percentiles(
     columns: list[str],
     probs: list[float],
     large: int = LARGE_GROUP,
+    ranked: int | None = None,
 ) -> DataFrame:
     """One row per group: keys and, per column, an array of its percentiles.
 
@@ -49,28 +55,25 @@ def group_percentiles(
     """
     if not keys:
         whole = df.select(F.lit(0).alias(_ALL), *columns)
-        return group_percentiles(whole, [_ALL], columns, probs, large).drop(_ALL)
+        return group_percentiles(whole, [_ALL], columns, probs, large, ranked).drop(_ALL)
 
     data = df.select(*keys, *columns)
-    sizes = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    largest = sizes.agg(F.max("_rows")).first()[0] or 0
-    if largest <= large:
-        return _builtin(data, keys, columns, probs)
-
     spreads = stage(
-        data.groupBy(*keys).agg(*[F.approx_count_distinct(c).alias(f"_d{i}") for i, c in enumerate(columns)]),
+        data.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("_rows"), *[F.approx_count_distinct(c).alias(f"_d{i}") for i, c in enumerate(columns)]
+        ),
         "value-counts",
     )
-    widest = spreads.agg(*[F.max(f"_d{i}").alias(f"_d{i}") for i in range(len(columns))]).first()
-    many = [i for i in range(len(columns)) if widest[f"_d{i}"] > large]
+    widest = spreads.agg(F.max("_rows").alias("_rows"), *[F.max(f"_d{i}").alias(f"_d{i}") for i in range(len(columns))]).first()
+    many = [i for i in range(len(columns)) if (widest["_rows"] or 0) > large and widest[f"_d{i}"] > large]
     if not many:
         return _builtin(data, keys, columns, probs)
 
     is_hot = reduce(lambda a, b: a | b, [F.col(f"_d{i}") > large for i in many])
     hot = stage(spreads.filter(is_hot).select(*keys), "hot-groups")
     wide = [columns[i] for i in many]
-    accuracy = min(MAX_ACCURACY, max(SKETCH_ACCURACY, largest // 500_000))
-    result = _select(data.select(*keys, *wide), keys, wide, probs, hot, accuracy)
+    rows = stage(data.select(*keys, *wide).join(broadcast_if_small(hot), keys, "left_semi"), "hot-rows")
+    result = _select(rows, keys, wide, probs, hot, ranked or RANKED_VALUES)
     if not spreads.filter(~is_hot).isEmpty():
         cold = data.join(broadcast_if_small(hot), keys, "left_anti")
         result = result.unionByName(_builtin(cold, keys, wide, probs))
@@ -86,16 +89,15 @@ def _builtin(data: DataFrame, keys: list[str], columns: list[str], probs: list[f
 
 
 def _select(
-    data: DataFrame, keys: list[str], columns: list[str], probs: list[float], hot: DataFrame, accuracy: int
+    data: DataFrame, keys: list[str], columns: list[str], probs: list[float], hot: DataFrame, ranked: int
 ) -> DataFrame:
-    data = data.join(broadcast_if_small(hot), keys, "left_semi")
     targets = [(i, j, c, p) for i, c in enumerate(columns) for j, p in enumerate(probs)]
 
-    band = 2.0 / accuracy
+    band = 2.0 / SKETCH_ACCURACY
     edges = F.array(*[F.lit(e) for p in probs for e in (max(0.0, p - band), min(1.0, p + band))])
     bands = stage(
         data.groupBy(*keys).agg(
-            *[F.percentile_approx(c, edges, accuracy).alias(f"_q{i}") for i, c in enumerate(columns)]
+            *[F.percentile_approx(c, edges, SKETCH_ACCURACY).alias(f"_q{i}") for i, c in enumerate(columns)]
         ),
         "bands",
     )
@@ -126,36 +128,44 @@ def _select(
         )
         for i, j, c, _ in targets
     ]
-    values = (
+    values = stage(
         data.join(broadcast_if_small(limits), keys)
         .filter(reduce(lambda a, b: a | b, [within(i, j, c) for i, j, c, _ in targets]))
         .select(*keys, F.explode(F.array_compact(F.array(*kept))).alias("_x"))
         .select(*keys, "_x.*")
         .groupBy(*keys, "_i", "_j", "_v")
-        .agg(F.count(F.lit(1)).alias("_c"))
+        .agg(F.count(F.lit(1)).alias("_c")),
+        "band-values",
     )
-    upto = Window.partitionBy(*keys, "_i", "_j").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = values.withColumn("_upto", F.sum("_c").over(upto))
-
-    targets_long = limits.select(
-        *keys,
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(i).alias("_i"), F.lit(j).alias("_j"), F.col(f"_t{i}_{j}").alias("_t"))
-                    for i, j, _, _ in targets
-                ]
-            )
+    each = [*keys, "_i", "_j"]
+    goals = stage(
+        limits.select(
+            *keys,
+            F.inline(
+                F.array(
+                    *[
+                        F.struct(
+                            F.lit(i).alias("_i"), F.lit(j).alias("_j"),
+                            *[F.col(f"_t{i}_{j}.{name}").alias(name) for name in ("r1", "r2", "share", "skipped")],
+                        )
+                        for i, j, _, _ in targets
+                    ]
+                )
+            ),
         ),
+        "goals",
     )
-    seen = F.col("_t.skipped") + F.col("_upto")
+    values, goals = _narrowed(values, goals, each, ranked)
+    upto = Window.partitionBy(*each).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    seen = F.col("skipped") + F.col("_upto")
     found = (
-        ranked.join(targets_long, [*keys, "_i", "_j"])
-        .groupBy(*keys, "_i", "_j")
+        values.withColumn("_upto", F.sum("_c").over(upto))
+        .join(broadcast_if_small(goals), each)
+        .groupBy(*each)
         .agg(
-            F.max(F.when((seen >= F.col("_t.r1")) & (seen - F.col("_c") < F.col("_t.r1")), F.col("_v"))).alias("_a"),
-            F.max(F.when((seen >= F.col("_t.r2")) & (seen - F.col("_c") < F.col("_t.r2")), F.col("_v"))).alias("_b"),
-            F.max("_t.share").alias("_share"),
+            F.max(F.when((seen >= F.col("r1")) & (seen - F.col("_c") < F.col("r1")), F.col("_v"))).alias("_a"),
+            F.max(F.when((seen >= F.col("r2")) & (seen - F.col("_c") < F.col("r2")), F.col("_v"))).alias("_b"),
+            F.max("share").alias("_share"),
         )
         .withColumn("_value", F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_share"))
     )
@@ -173,6 +183,52 @@ def _select(
     return limits.select(*keys).join(wide, keys, "left")
 
 
+def _narrowed(
+    values: DataFrame, goals: DataFrame, each: list[str], ranked: int
+) -> tuple[DataFrame, DataFrame]:
+    """``values`` (written: ``each``, ``_v``, ``_c``) cut down to ``ranked`` rows per target, ``goals`` made to fit.
+
+    Bins hold equally many distinct values, so every round leaves a fixed share of them.
+    """
+    fractions = F.array(*[F.lit(k / BINS) for k in range(BINS + 1)])
+    while True:
+        sizes = values.groupBy(*each).agg(F.count(F.lit(1)).alias("_n"))
+        large = stage(sizes.filter(F.col("_n") > ranked).select(*each), "wide-bands")
+        if not large.head(1):
+            return values, goals
+        edges = stage(
+            values.join(broadcast_if_small(large), each, "left_semi").groupBy(*each).agg(
+                F.array_distinct(F.percentile_approx("_v", fractions, SKETCH_ACCURACY)).alias("_edges")
+            ),
+            "edges",
+        )
+        # rows of targets that are small enough already have no edges and bin 0
+        binned = values.join(broadcast_if_small(edges), each, "left").withColumn(
+            "_bin", F.coalesce(F.size(F.filter("_edges", lambda e: e <= F.col("_v"))), F.lit(0))
+        ).drop("_edges")
+        upto = Window.partitionBy(*each).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
+        bins = binned.groupBy(*each, "_bin").agg(F.sum("_c").alias("_c")).withColumn("_upto", F.sum("_c").over(upto))
+        seen = F.col("skipped") + F.col("_upto")
+        meets = (seen >= F.col("r1")) & (seen - F.col("_c") < F.col("r2"))
+        chosen = stage(
+            bins.join(broadcast_if_small(goals), each).filter(meets).groupBy(*each).agg(
+                F.min("_bin").alias("_low"), F.max("_bin").alias("_high"),
+                F.min(F.col("_upto") - F.col("_c")).alias("_below"),
+            ),
+            "bins",
+        )
+        values = stage(
+            binned.join(broadcast_if_small(chosen), each)
+            .filter(F.col("_bin").between(F.col("_low"), F.col("_high"))).select(*each, "_v", "_c"),
+            "narrower",
+        )
+        goals = stage(
+            goals.join(broadcast_if_small(chosen), each, "left")
+            .withColumn("skipped", F.col("skipped") + F.coalesce("_below", F.lit(0))).drop("_low", "_high", "_below"),
+            "goals",
+        )
+
+
 def _edge(i: int, at: int) -> Column:
     return F.get(F.col(f"_q{i}"), F.lit(at))
 

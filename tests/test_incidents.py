@@ -174,6 +174,34 @@ def test_auc_by_brute_force(spark, values):
     assert detect.roc_auc(df).first()["roc_auc"] == pytest.approx(want)
 
 
+@pytest.mark.parametrize("low, high", [(0.0, 1e-4), (5.0, 9.0), (-1e300, 1e300)])
+def test_auc_ranges_follow_the_scores(spark, low, high):
+    """Wherever the scores lie, ranges are even and counts are carried across them."""
+    rng = random.Random(3)
+    rows = [(bool(rng.random() < 0.3), low + (high / 2 - low / 2) * 2 * rng.random()) for _ in range(3000)]
+    rows += [(True, low), (False, low), (False, high)] * 40
+    df = spark.createDataFrame(rows, "is_anomaly boolean, probability double")
+    scores = np.array([p for _, p in rows])
+    order = scores.argsort()
+    ranks = np.empty(len(rows))
+    ranks[order] = np.arange(1, len(rows) + 1)
+    for v in (low, high):
+        ranks[scores == v] = ranks[scores == v].mean()
+    y = np.array([y for y, _ in rows])
+    want = (ranks[y].sum() - y.sum() * (y.sum() + 1) / 2) / (y.sum() * (~y).sum())
+    got = detect.roc_auc(df, range_scores=100).first()
+    assert got["roc_auc"] == pytest.approx(want, abs=1e-12) and got["n_rows"] == len(rows)
+    ranged = df.groupBy("probability").count().repartitionByRange(31, "probability")
+    sizes = [r["n"] for r in ranged.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert max(sizes) < 2.5 * 3000 / 31
+
+
+def test_auc_without_scores(spark):
+    df = spark.createDataFrame([(None, 0.4), (True, None), (True, 0.5), (False, 0.1)], "is_anomaly boolean, probability double")
+    assert tuple(detect.roc_auc(df).first()) == (1.0, 2)
+    assert tuple(detect.roc_auc(df.where("probability > 7")).first()) == (None, 0)
+
+
 def test_auc_of_one_class_is_null(spark):
     df = spark.createDataFrame([(True, 0.4), (True, 0.6)], "is_anomaly boolean, probability double")
     assert detect.roc_auc(df).first()["roc_auc"] is None

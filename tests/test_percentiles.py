@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from kpiloom.operators.percentiles import group_percentiles
 
@@ -65,3 +66,36 @@ def test_a_wrong_sketch_does_not_matter(spark, monkeypatch):
     out = {r["k"]: r for r in percentiles.group_percentiles(df, ["k"], ["smooth"], PROBS, 0).collect()}
     for key, r in out.items():
         assert _same(r["smooth"], _expected([x[1] for x in rows if x[0] == key])), key
+
+
+@pytest.mark.parametrize("ranked", [3, 40])
+def test_a_ranking_task_has_a_fixed_bound(spark, monkeypatch, ranked):
+    """Whatever the group and its ties, no target keeps more distinct values than the bound."""
+    from kpiloom.operators import percentiles
+
+    rng = np.random.default_rng(7)
+    parts = {
+        "even": rng.random(9000), "ties": rng.choice([1.0, 2.0, 2.5, 3.0], 9000),
+        "heavy": np.concatenate((np.full(8000, 5.0), rng.random(4000) * 10)), "wide": rng.normal(size=9000) * 10.0 ** rng.integers(-9, 9, 9000),
+        "small": rng.random(5),
+    }
+    rows = [(k, float(v), float(v) * -3) for k, vs in parts.items() for v in vs]
+    sizes = []
+    narrowed = percentiles._narrowed
+
+    def watched(values, goals, each, bound):
+        values, goals = narrowed(values, goals, each, bound)
+        sizes.extend(r["n"] for r in values.groupBy(*each).agg(F.count("*").alias("n")).collect())
+        return values, goals
+
+    monkeypatch.setattr(percentiles, "_narrowed", watched)
+    monkeypatch.setattr(percentiles, "BINS", 8)
+    monkeypatch.setattr(percentiles, "SKETCH_ACCURACY", 20)  # so that bands are wide
+    df = spark.createDataFrame(rows, "k string, x double, y double").repartition(3)
+    probs = [0.0, 0.25, 0.5, 0.9, 1.0]
+    got = percentiles.group_percentiles(df, ["k"], ["x", "y"], probs, large=100, ranked=ranked)
+    for r in got.collect():
+        for c, sign in (("x", 1), ("y", -3)):
+            assert r[c] == pytest.approx(list(np.quantile(parts[r["k"]] * sign, probs)))
+    assert got.count() == len(parts)
+    assert sizes and max(sizes) <= ranked
