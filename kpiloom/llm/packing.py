@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kpiloom.llm.bpe import PATTERN, vocabulary
+from kpiloom.llm.bpe import PATTERN, encoder_of, vocabulary
 from kpiloom.llm.common import quoted, ship, text_of
 from kpiloom.session import stage
 
@@ -55,6 +55,14 @@ def fast_encoding(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=v.special)
 
 
+def ids_of(text: str, encoding: tiktoken.Encoding, path: str) -> np.ndarray:
+    """Ids of a text; the fast encoder's pattern engine gives up on runs of about a million blanks."""
+    try:
+        return np.asarray(encoding.encode_to_numpy(text, allowed_special="all"), dtype="<u4")
+    except ValueError:
+        return encoder_of(path).encode([text])[0].astype("<u4")
+
+
 def piece_bounds(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
     """Start and length of the pieces of ``n`` ids: only the first may be shorter."""
     first = n % capacity or min(n, capacity)
@@ -76,8 +84,7 @@ def token_pieces(
         for batch in batches:
             row, piece, start, length, crc, ids = [], [], [], [], [], []
             for k, x in enumerate(batch.column(1)):
-                tokens = encoding.encode_to_numpy(x.as_py(), allowed_special="all")
-                tokens = np.concatenate((np.asarray(tokens, dtype="<u4"), end))
+                tokens = np.concatenate((ids_of(x.as_py(), encoding, path), end))
                 for p, (s, n) in enumerate(piece_bounds(len(tokens), capacity)):
                     part = tokens[s : s + n]
                     row.append(k)

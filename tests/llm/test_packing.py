@@ -91,6 +91,25 @@ def test_documents(spark, docs_of):
     check(got, 1024)
 
 
+@pytest.mark.parametrize("run", [" ", "\n", "x", "!", " \t", "日", "a "])
+def test_runs_of_a_million(spark, docs_of, run):
+    text = run * 10**6
+    got = packing.pack_documents(docs_of([text, f"before {text}after"]), PATH).collect()
+    want = []
+    for i, t in enumerate([text, f"before {text}after"]):
+        ids = np.array(ids_of(t), dtype="<u4")
+        want += [(i, p, s, n, zlib.crc32(ids[s : s + n].tobytes())) for p, (s, n) in enumerate(packing.piece_bounds(len(ids)))]
+    assert sorted(tuple(r)[:5] for r in got) == sorted(want)
+    check(got, 1024)
+
+
+@given(st.text(max_size=200) | st.text(alphabet=" \n\t\r\u00a0\u3000'as!1é日\x00", max_size=300))
+@settings(max_examples=300, deadline=None)
+def test_ids_are_the_librarys(text):
+    text = text.encode("utf-8", "ignore").decode()
+    assert packing.ids_of(text, packing.fast_encoding(PATH), PATH).tolist() == ids_of(text)[:-1]
+
+
 def test_sequences_hold_the_ids(spark, docs_of):
     texts = [f"document {i} " * (1 + 37 * i % 300) for i in range(40)]
     pieces = stage(packing.token_pieces(docs_of(texts), PATH, with_ids=True))
