@@ -24,12 +24,12 @@ not read.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,14 +45,14 @@ LOSSY = 31
 CELL = 20_000
 MOST_CELLS = 16_384
 SAMPLE = 400_000
-LEAF = 8
+LEAF = 16
 #: Letter comparisons that a worker holds at once.
 HELD = 4_000_000
 #: Distinct words that a worker counts before it hands them on.
 KNOWN_WORDS = 400_000
 _LETTERS = 26 + 64
-_RUN = regex.compile("[A-Za-zÀ-ÿ]+")
-_LOWER = {c: c + 32 for c in range(65, 91)}
+#: Shorter runs cannot become words.
+_RUN = re.compile(f"[a-zÀ-ÿ]{{{LEAST_LENGTH},}}")
 #: Dimension of a latin-1 byte: a-z, then U+00C0 to U+00FF.
 _DIMENSION = np.zeros(256, dtype=np.int64)
 _DIMENSION[97:123] = np.arange(26)
@@ -60,14 +60,18 @@ _DIMENSION[192:256] = np.arange(26, _LETTERS)
 
 
 def runs_of(text: str, id: str) -> Counter:
-    """Occurrences of each word of a text, after the loss of a letter where the hash asks for it."""
+    """Occurrences of each long enough word of a text, after the loss of a letter where the hash asks for it."""
     begin = zlib.crc32(f"{id}:".encode("utf-8", "surrogatepass"))
+    # bytes are lowered in ASCII only
+    low = text.lower() if text.isascii() else text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
     out: Counter = Counter()
-    for run, n in Counter(_RUN.findall(text.translate(_LOWER))).items():
+    for run, n in Counter(_RUN.findall(low)).items():
         h = zlib.crc32(run.encode(), begin)
         if h % LOSSY == 0:
             at = h % len(run)
             run = run[:at] + run[at + 1 :]
+            if len(run) < LEAST_LENGTH:
+                continue
         out[run] += n
     return out
 
@@ -84,8 +88,7 @@ def word_counts(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
         for batch in batches:
             for x, t in zip(batch.column(0), batch.column(1)):
                 for word, n in runs_of(t.as_py(), x.as_py()).items():
-                    if len(word) >= LEAST_LENGTH:
-                        held[word] += n
+                    held[word] += n
                 if len(held) > KNOWN_WORDS:
                     yield _counted(held)
                     held = Counter()
@@ -208,17 +211,17 @@ def cells_near(tree, counts: np.ndarray, most_downs: int):
 
 
 def one_replaced(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.count_nonzero(a != b, axis=1) == 1
+    return np.count_nonzero(a != b, axis=-1) == 1
 
 
 def one_inserted(shorter: np.ndarray, longer: np.ndarray) -> np.ndarray:
     """Whether leaving out one letter of ``longer`` gives ``shorter``."""
-    n = shorter.shape[1]
-    differ = shorter != longer[:, :n]
-    prefix = np.where(differ.any(axis=1), differ.argmax(axis=1), n)
-    back = shorter[:, ::-1] != longer[:, :0:-1]
-    suffix = np.where(back.any(axis=1), back.argmax(axis=1), n)
-    return prefix + suffix >= n
+    n = shorter.shape[-1]
+    # equal before the first difference, and after it when shifted by one
+    same, shifted = shorter == longer[..., :n], shorter == longer[..., 1:]
+    before = np.logical_and.accumulate(same, axis=-1).sum(axis=-1)
+    after = np.logical_and.accumulate(shifted[..., ::-1], axis=-1).sum(axis=-1)
+    return before + after >= n
 
 
 def search(points: np.ndarray, point_counts: np.ndarray, queries: np.ndarray, query_counts: np.ndarray):
@@ -230,14 +233,7 @@ def search(points: np.ndarray, point_counts: np.ndarray, queries: np.ndarray, qu
     check, most_downs = (one_inserted, 0) if shorter else (one_replaced, 1)
     zero = np.zeros(len(queries), dtype=np.int16)
     todo = [(whole_box(), np.arange(len(points)), np.arange(len(queries)), zero, zero)]
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    waiting, width = 0, points.shape[1]
-
-    def compare():
-        q, p = (np.concatenate(c) for c in zip(*held))
-        true = check(queries[q], points[p])
-        return q[true], p[true]
-
+    width = points.shape[1]
     while todo:
         box, inside, at, ups, downs = todo.pop()
         if not len(at):
@@ -245,25 +241,20 @@ def search(points: np.ndarray, point_counts: np.ndarray, queries: np.ndarray, qu
         part = point_counts[inside]
         cut = best_cut(part) if len(inside) > LEAF else None
         if cut is None:
-            same = len(inside) > LEAF  # no cut, so all points have one vector
-            step = max(1, HELD // (len(inside) * max(_LETTERS, width)))
+            if len(inside) > LEAF:  # all points have one vector: queries at another distance go
+                apart = np.abs(query_counts[at].astype(np.int16) - part[0]).sum(axis=1)
+                at = at[(apart > 0) & (apart <= 1 + most_downs)]
+            step = max(1, HELD // (len(inside) * width))
             for low in range(0, len(at), step):
                 some = at[low : low + step]
-                apart = np.abs(query_counts[some][:, None, :].astype(np.int16) - part[None, :1 if same else None]).sum(axis=2)
-                near = (apart > 0) & (apart <= 1 + most_downs)
-                q, p = np.nonzero(np.broadcast_to(near, (len(some), len(inside))))
-                held.append((some[q], inside[p]))
-                waiting += len(q)
-                if waiting * width > HELD:
-                    yield compare()
-                    held, waiting = [], 0
+                q, p = np.nonzero(check(queries[some][:, None, :], points[inside][None, :, :]))
+                if len(q):
+                    yield some[q], inside[p]
             continue
         below = part[:, cut[0]] <= cut[1]
         parts = descend(query_counts, at, ups, downs, box, cut, most_downs)
         for b, points_in, p in zip(halves(box, cut), (inside[below], inside[~below]), parts):
             todo.append((b, points_in, *p))
-    if held:
-        yield compare()
 
 
 def _plans(words: DataFrame) -> dict[int, object]:
