@@ -8,16 +8,20 @@ writes the archives (one gzip member per file) to any store Spark can reach.
 Reading: archives come back as binary files; records are read one by one by their
 stated lengths, and each response's payload is held against its stated digest.
 
-Index: the captures found by a task are sorted there by URL key and time (a run).
-Runs are cut at common range bounds and every range is merged from its runs by a
-loser tree, so the parts of the result, in order, are one globally ordered history.
-Ranges are bounds on (URL key, time, id), so one URL may span many of them.
+Index: the captures found by a task are sorted there by URL key and time (a run), and
+runs stay on disk.  They are cut at common range bounds and every range is merged from
+its runs by a loser tree, so the parts of the result, in order, are one globally ordered
+history.  The number of ranges follows the number of captures, so a task holds about
+``CAPTURES_PER_RANGE`` of them whatever the input.  Bounds are on (URL key, time, id, file,
+offset), which no two captures share: one URL, or one row repeated, may span many ranges.
 
 Defined results: null html counts as empty, a null URL has an empty key; a page whose
 id is null never becomes the response others name (unless all ids of its payload are
 null: then each is a response); repeated rows are records of their own, and two rows
 that share the smallest id are both responses; an empty table gives an empty archive
-and index; other columns are not read.  Ties go by id.
+and index; other columns are not read.  Ties go by id, in the order of its type, null first.
+Where pages carry no time, an integral id counts as seconds from a fixed start; ids of
+other types, those beyond the years 1 to 9999 and unknown times count as that start.
 """
 
 from __future__ import annotations
@@ -25,21 +29,28 @@ from __future__ import annotations
 import gzip
 import hashlib
 import io
-from urllib.parse import urlsplit
+from urllib.parse import unquote_plus, urlsplit
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kpiloom.llm.common import lookup, quoted, ship, text_of
 from kpiloom.session import stage, stage_path
 
 #: Smaller payloads are always written out.
 LEAST_BYTES = 100
-RECORDS_PER_FILE = 2000
+#: Records of a file by the size of their payloads: a file holds about 130 MB at most, or one record.
+RECORDS_PER_FILE = {64 * 1024: 2000, 1024 * 1024: 128, 16 * 1024 * 1024: 8, None: 1}
+CAPTURES_PER_RANGE = 50_000
+#: First and last second of the years that a WARC date can tell.
+FIRST_SECOND, LAST_SECOND = -62_135_596_800, 253_402_300_799
 CRLF = "\r\n"
 #: Fixed value: profile of a revisit whose payload digest equals that of an earlier record.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: Record id of a page whose id is null.
+NO_ID = "<urn:x-no-page>"
 #: Where pages carry no capture time, their id counts as seconds from here on.
 EPOCH = 1_500_000_000
 
@@ -49,8 +60,15 @@ def _one_line(column: Column) -> Column:
 
 
 def with_payload(pages: DataFrame, id: str, url: str, html: str, captured: str | None) -> DataFrame:
-    seconds = F.coalesce(quoted(id).cast("long"), F.lit(0)) + EPOCH
-    time = quoted(captured).cast("timestamp") if captured else F.timestamp_seconds(seconds)
+    start = F.lit(EPOCH).cast("long")
+    if captured:
+        seconds = F.unix_seconds(quoted(captured).try_cast("timestamp"))
+    elif isinstance(pages.schema[id].dataType, T.IntegralType):
+        seconds = F.try_add(quoted(id).cast("long"), start)
+    else:
+        seconds = F.lit(None).cast("long")
+    inside = seconds.between(FIRST_SECOND, LAST_SECOND)
+    time = F.timestamp_seconds(F.when(inside, seconds).otherwise(start))
     frame = pages.select(
         quoted(id).cast("string").alias("page_id"), quoted(id).alias("order_id"), quoted(url).alias("url"),
         time.alias("time"), text_of(quoted(html)).alias("payload"),
@@ -74,12 +92,12 @@ def record(refers_to: Column) -> Column:
         return F.coalesce(F.concat(F.lit(f"{name}: "), value, F.lit(CRLF)), F.lit(""))
 
     def urn(column: Column) -> Column:
-        return F.concat(F.lit("<urn:x-page:"), column, F.lit(">"))
+        return F.concat(F.lit("<urn:x-page:"), F.url_encode(column), F.lit(">"))
 
     return F.concat(
         F.lit(f"WARC/1.1{CRLF}"),
         line("WARC-Type", F.when(revisit, F.lit("revisit")).otherwise(F.lit("response"))),
-        line("WARC-Record-ID", urn(F.coalesce("page_id", F.lit("")))),
+        line("WARC-Record-ID", F.coalesce(urn(F.col("page_id")), F.lit(NO_ID))),
         line("WARC-Date", F.date_format("time", "yyyy-MM-dd'T'HH:mm:ss'Z'")),
         line("WARC-Target-URI", _one_line(F.col("url"))),
         line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))),
@@ -109,9 +127,16 @@ def write_archives(
     )
     told = lookup(frame, firsts.select("digest", "first_id"), "digest", counts=firsts.select("digest", "n"))
     refers_to = F.when(F.col("page_id").eqNullSafe(F.col("first_id")), None).otherwise(F.col("first_id"))
-    told.select(record(refers_to).alias("value")).write.option("lineSep", CRLF + CRLF).option(
-        "compression", "gzip"
-    ).option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    size, least = F.col("payload_bytes"), 0
+    longest = frame.agg(F.max("payload_bytes")).first()[0] or 0
+    for below, records_per_file in RECORDS_PER_FILE.items():
+        if least and longest < least:
+            break
+        some = told.where(size >= least if below is None else (size >= least) & (size < below))
+        some.select(record(refers_to).alias("value")).write.mode("append").option("lineSep", CRLF + CRLF).option(
+            "compression", "gzip"
+        ).option("maxRecordsPerFile", records_per_file).text(path)
+        least = below
 
 
 # --- reading ------------------------------------------------------------------------
@@ -154,7 +179,7 @@ def records(stream):
 
 
 def _own(urn: str | None) -> str | None:
-    return None if urn is None else urn.removeprefix("<urn:x-page:").removesuffix(">") or None
+    return None if urn in (None, NO_ID) else unquote_plus(urn.removeprefix("<urn:x-page:").removesuffix(">"))
 
 
 def capture(fields: dict[str, str], block: bytes) -> tuple:
@@ -244,12 +269,12 @@ def merge_order(keys: list) -> list[int]:
     return [starts[r] + i for r, i in LoserTree(runs)] if runs else []
 
 
-def merge_index(captures: DataFrame) -> DataFrame:
-    """The captures in order of URL key, time and id: sorted runs, cut into ranges, merged."""
+def merge_index(captures: DataFrame, id_type: T.DataType | None = None) -> DataFrame:
+    """The captures (a written table) in order of URL key, time, id, file and offset: runs, cut into ranges, merged."""
     ship(captures.sparkSession)
-    order = ["url_key", "captured", "page_order", "page_id"]
-    # digits by length first, so that ids are in order of their numbers
-    frame = captures.withColumn("page_order", F.length(F.coalesce("page_id", F.lit(""))))
+    order = ["url_key", "captured", "page_order", "file", "offset"]
+    frame = captures.withColumn("page_order", F.col("page_id").cast(id_type or T.StringType()))
+    ranges = max(1, -(-captures.count() // CAPTURES_PER_RANGE))
     runs = frame.sortWithinPartitions(*order)
 
     def run(batches):
@@ -257,13 +282,11 @@ def merge_index(captures: DataFrame) -> DataFrame:
         if not held:
             return
         table = pa.Table.from_batches(held)
-        keys = list(zip(*[
-            ["" if v is None else v for v in table.column(c).to_pylist()] for c in order
-        ]))
+        keys = list(zip(*[[(v is not None, v) for v in table.column(c).to_pylist()] for c in order]))
         merged = table.take(pa.array(merge_order(keys), pa.int64())).select(NAMES).combine_chunks()
         yield from merged.to_batches(max_chunksize=8192)
 
-    return runs.repartitionByRange(*order).mapInArrow(run, _SCHEMA)
+    return runs.repartitionByRange(ranges, *order).mapInArrow(run, _SCHEMA)
 
 
 def archive(
@@ -275,6 +298,6 @@ def archive(
     path = path or stage_path(spark, "warc")
     write_archives(pages, path, id, url, html, captured, least_bytes)
     kind = pages.schema[id].dataType
-    return merge_index(stage(read_archives(spark, path), "captures")).withColumns({
+    return merge_index(stage(read_archives(spark, path), "captures"), kind).withColumns({
         "page_id": F.col("page_id").cast(kind), "refers_to": F.col("refers_to").cast(kind),
     })
