@@ -1,8 +1,10 @@
 """Data quality: missing values, duplicates, outliers, cleaning, time consistency.
 
-Table-wide reports take one pass where possible.  Duplicates are found by
-grouping on all columns, which collapses copies before the shuffle, so a row
-repeated billions of times is no hot key.
+Table-wide reports take one pass where possible.  Duplicates are found by 128-bit digests of
+the rows: digests are counted first, which moves 16 bytes a row, and only rows whose
+digest stands twice are grouped on all columns, so rows that merely share a digest stay
+apart.  Grouping collapses copies before each shuffle: a row repeated billions of
+times is no hot key.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from kpiloom.functions import expr as E
 from kpiloom.operators.features import numeric_features
 from kpiloom.operators.percentiles import LARGE_GROUP, group_percentiles
 from kpiloom.operators.sliding import PARTS, window_aggregates
+from kpiloom.session import BROADCAST_LIMIT_BYTES, stage
 
 
 # ---- per-incident batches ------------------------------------------------------------------
@@ -113,9 +116,39 @@ def window_stats(
 
 # ---- whole-table reports -------------------------------------------------------------------
 
-def duplicate_count(df: DataFrame) -> DataFrame:
+def row_digest(df: DataFrame) -> list[Column]:
+    """Two 64-bit hashes of all columns of a row, equal for rows that grouping takes for equal."""
+    values = [
+        F.col(f.name) + F.lit(0.0).cast(f.dataType) if isinstance(f.dataType, T.FractionalType) and not isinstance(f.dataType, T.DecimalType)
+        else F.col(f.name)
+        for f in df.schema.fields
+    ]
+    # a hash skips NULLs, so which columns are NULL is hashed too
+    missing = F.concat(*[F.when(F.col(f.name).isNull(), F.lit("1")).otherwise(F.lit("0")) for f in df.schema.fields])
+    return [F.xxhash64(missing, *values), F.xxhash64(F.lit("second"), *reversed(values), missing)]
+
+
+def _by_digest(df: DataFrame, digest=row_digest) -> tuple[DataFrame, DataFrame | None]:
+    """Distinct rows whose digest stands twice, with ``_copies``; and all other rows.
+
+    Repeated digests are broadcast after a check of their size.  Where they are too many,
+    most rows are repeated: then all rows are grouped, and there are no others.
+    """
+    h1, h2 = digest(df)
+    keyed = df.withColumns({"_h1": h1, "_h2": h2})
+    twice = stage(
+        keyed.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_h1", "_h2"), "repeated"
+    )
+    suspects, others = df, None
+    if twice.count() * 64 <= BROADCAST_LIMIT_BYTES:
+        suspects = keyed.join(F.broadcast(twice), ["_h1", "_h2"], "left_semi").select(df.columns)
+        others = keyed.join(F.broadcast(twice), ["_h1", "_h2"], "left_anti").select(df.columns)
+    return suspects.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies")), others
+
+
+def duplicate_count(df: DataFrame, digest=row_digest) -> DataFrame:
     """Rows equal on all columns to another row, minus one per set of copies."""
-    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    copies, _ = _by_digest(df, digest)
     return copies.agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("n_duplicates"))
 
 
@@ -177,26 +210,36 @@ def dtype_report(df: DataFrame) -> DataFrame:
     )
 
 
-def quality_score(df: DataFrame) -> DataFrame:
-    """100 minus mean missing percent minus duplicate percent, not below 0.
-
-    Grouping on all columns yields copies and NULL counts together: one shuffle.
-    """
-    n_cols = len(df.columns)
-    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    totals = copies.agg(
-        F.coalesce(F.sum("_copies"), F.lit(0)).alias("total_rows"),
-        F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("n_duplicates"),
-        F.coalesce(F.sum(E.missing_count(df.columns) * F.col("_copies")), F.lit(0)).alias("total_missing"),
+def _totals(df: DataFrame, min_frac: float, digest) -> DataFrame:
+    """One row: rows, rows dense enough, missing cells, duplicates, and duplicates among the dense rows."""
+    missing = E.missing_count(df.columns)
+    dense = len(df.columns) - missing >= math.ceil(len(df.columns) * min_frac)
+    zero = F.lit(0).cast("bigint")
+    copies, _ = _by_digest(df, digest)
+    whole = df.agg(
+        F.count(F.lit(1)).alias("total_rows"), F.count_if(dense).alias("_dense"), F.sum(missing).cast("bigint").alias("_missing"),
+        zero.alias("n_duplicates"), zero.alias("_dense_duplicates"),
     )
-    missing = F.coalesce(F.try_divide(F.col("total_missing") * 100.0, F.col("total_rows") * n_cols), F.lit(0.0))
-    duplicated = F.coalesce(F.try_divide(F.col("n_duplicates") * 100.0, F.col("total_rows")), F.lit(0.0))
-    return totals.select(
-        "total_rows",
-        F.lit(n_cols).alias("total_columns"),
-        "n_duplicates",
-        F.round(F.greatest(F.lit(0.0), F.lit(100.0) - missing - duplicated), 2).alias("quality_score"),
+    repeated = copies.agg(
+        zero.alias("total_rows"), zero.alias("_dense"), zero.alias("_missing"),
+        F.sum(F.col("_copies") - 1).alias("n_duplicates"),
+        F.sum(F.when(dense, F.col("_copies") - 1)).alias("_dense_duplicates"),
     )
+    both = whole.unionByName(repeated)  # two rows
+    return both.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in both.columns])
+
+
+def _score(n_columns: int) -> Column:
+    """100 minus missing percent minus duplicate percent, not below 0, from the totals."""
+    missing = F.coalesce(F.try_divide(F.col("_missing") * 100.0, F.col("total_rows") * n_columns), F.lit(0.0))
+    duplicated = F.coalesce(F.try_divide(F.col("n_duplicates") * 100.0, F.col("total_rows")), F.lit(0.0))
+    return F.round(F.greatest(F.lit(0.0), F.lit(100.0) - missing - duplicated), 2).alias("quality_score")
+
+
+def quality_score(df: DataFrame, digest=row_digest) -> DataFrame:
+    """100 minus mean missing percent minus duplicate percent, not below 0."""
+    n_cols = len(df.columns)
+    return _totals(df, 0.0, digest).select("total_rows", F.lit(n_cols).alias("total_columns"), "n_duplicates", _score(n_cols))
 
 
 def _stats_row(df: DataFrame, columns: list[str], large: int) -> dict[str, dict]:
@@ -316,8 +359,11 @@ def zscore_outliers(df: DataFrame, columns: list[str] | None = None, threshold:
 
 # ---- cleaning ------------------------------------------------------------------------------
 
-def drop_exact_duplicates(df: DataFrame) -> DataFrame:
-    return df.dropDuplicates()
+def drop_exact_duplicates(df: DataFrame, digest=row_digest) -> DataFrame:
+    """One row of each set of copies; rows without a copy never move."""
+    copies, others = _by_digest(df, digest)
+    copies = copies.drop("_copies")
+    return copies if others is None else others.unionByName(copies)
 
 
 def drop_sparse_rows(df: DataFrame, min_frac: float = 0.5) -> DataFrame:
@@ -338,25 +384,12 @@ def clean(df: DataFrame, min_frac: float = 0.5) -> DataFrame:
     return drop_exact_duplicates(drop_sparse_rows(df, min_frac))
 
 
-def clean_summary(df: DataFrame, min_frac: float = 0.5) -> DataFrame:
-    """Total, clean and removed rows next to the quality score: one grouping."""
-    n_cols = len(df.columns)
-    needed = math.ceil(n_cols * min_frac)
-    missing = E.missing_count(df.columns)
-    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    totals = copies.agg(
-        F.coalesce(F.sum("_copies"), F.lit(0)).alias("total_rows"),
-        F.count_if(n_cols - missing >= needed).alias("clean_rows"),
-        F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("_dups"),
-        F.coalesce(F.sum(missing * F.col("_copies")), F.lit(0)).alias("_missing"),
-    )
-    missing_pct = F.coalesce(F.try_divide(F.col("_missing") * 100.0, F.col("total_rows") * n_cols), F.lit(0.0))
-    dup_pct = F.coalesce(F.try_divide(F.col("_dups") * 100.0, F.col("total_rows")), F.lit(0.0))
-    return totals.select(
-        "total_rows",
-        "clean_rows",
-        (F.col("total_rows") - F.col("clean_rows")).alias("rows_removed"),
-        F.round(F.greatest(F.lit(0.0), F.lit(100.0) - missing_pct - dup_pct), 2).alias("quality_score"),
+def clean_summary(df: DataFrame, min_frac: float = 0.5, digest=row_digest) -> DataFrame:
+    """Total, clean and removed rows next to the quality score."""
+    clean_rows = F.col("_dense") - F.col("_dense_duplicates")
+    return _totals(df, min_frac, digest).select(
+        "total_rows", clean_rows.alias("clean_rows"), (F.col("total_rows") - clean_rows).alias("rows_removed"),
+        _score(len(df.columns)),
     )
 
 

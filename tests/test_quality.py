@@ -108,3 +108,44 @@ def test_range_violations_one_sided(spark):
     df = spark.createDataFrame([(1.0,), (5.0,), (9.0,), (None,)], "x double")
     out = quality.range_violations(df, {"x": (2.0, None), "absent": (0.0, 1.0)}).collect()
     assert [tuple(r) for r in out] == [("x", 1, 0)]
+
+
+def _colliding(df):
+    """Digests that throw most rows together, so only the exact grouping tells them apart."""
+    return [F.col("a") % 2, F.lit(1)]
+
+
+@pytest.mark.parametrize("digest", [quality.row_digest, _colliding])
+@pytest.mark.parametrize("limit", [None, 0])
+def test_duplicates_by_digest(spark, monkeypatch, digest, limit):
+    """Every report equals plain grouping: colliding digests, NULLs that swap places, signed zeros, too many repeats."""
+    if limit is not None:
+        monkeypatch.setattr(quality, "BROADCAST_LIMIT_BYTES", limit)
+    rows = [(i % 40, None if i % 3 else "x", 0.0 if i % 2 else -0.0, None) for i in range(400)]
+    rows += [(1000 + i, str(i), float(i), True) for i in range(50)] + [(3, "7", float("nan"), True), (3, "7", float("nan"), True)]
+    rows += [(7, None, None, None), (None, None, None, None), (None, None, 7.0, None)]
+    df = spark.createDataFrame(rows, "a int, b string, c double, d boolean").repartition(3)
+    plain = df.groupBy(*df.columns).agg(F.count("*").alias("n"))
+    want = sum(r["n"] - 1 for r in plain.collect())
+    assert quality.duplicate_count(df, digest).first()[0] == want > 0
+    distinct = quality.drop_exact_duplicates(df, digest)
+    assert sorted(map(repr, distinct.collect())) == sorted(map(repr, plain.drop("n").collect()))
+    score = quality.quality_score(df, digest).first()
+    missing = sum(v is None for r in rows for v in r)
+    assert (score["total_rows"], score["n_duplicates"]) == (len(rows), want)
+    assert score["quality_score"] == round(max(0, 100 - missing * 100 / (4 * len(rows)) - want * 100 / len(rows)), 2)
+    summary = quality.clean_summary(df, 0.5, digest).first()
+    assert summary["clean_rows"] == quality.clean(df).count() == plain.dropna(thresh=3).count()
+
+
+def test_only_repeated_rows_are_grouped_whole(spark):
+    df = spark.range(1000).select("id", F.col("id").cast("string").alias("text")).unionByName(
+        spark.range(5).select("id", F.col("id").cast("string").alias("text")))
+    copies, others = quality._by_digest(df)
+    assert copies.count() == 5 and others.count() == 995
+
+
+def test_duplicates_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "a int, b string")
+    assert quality.duplicate_count(df).first()[0] == 0 and quality.drop_exact_duplicates(df).count() == 0
+    assert tuple(quality.clean_summary(df).first()) == (0, 0, 0, 100.0)
