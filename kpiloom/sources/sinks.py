@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import uuid
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kpiloom.session import broadcast_if_small, stage
+from kpiloom.sources import commits
 from kpiloom.sources.kpi import normalize_nan
 
 
@@ -65,14 +67,10 @@ def global_row_number(df: DataFrame, order: list, out: str = "row_no", start: in
     )
 
 
-def record_cases(cases: DataFrame, path: str, order: list, id_column: str = "record_id") -> None:
-    """Append cases to the history table; ids go on from the highest one stored."""
-    spark = cases.sparkSession
-    try:
-        last = spark.read.parquet(path).agg(F.max(id_column)).first()[0] or 0
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        last = 0
-    numbered = global_row_number(cases, order, id_column, start=last)
-    numbered.write.mode("append").parquet(path)
+def record_cases(cases: DataFrame, path: str, order: list, id_column: str = "record_id", run: str | None = None) -> bool:
+    """Append cases to the history table once per run key; ids go on from the highest one claimed.
+
+    Without a key every call is a run of its own.  False if the run is there already.
+    """
+    numbered = stage(global_row_number(cases, order, id_column), "numbered")
+    return commits.append_once(numbered, path, run or uuid.uuid4().hex, position=id_column, id_column=id_column)
