@@ -42,6 +42,72 @@ def case_summary(cases: DataFrame, entity: str = "cell_name", ts: str = "t0") ->
     )
 
 
+#: A signal is common from so many learning shapes on.
+HOT_POSTINGS = 1000
+
+
+def similar_candidates(case_shapes: DataFrame, oldest: DataFrame, k: int, hot_postings: int | None = None) -> DataFrame:
+    """Pairs of case shapes (``signals``, ``cause``) and learnings that share a signal, enough for the k best.
+
+    ``oldest``: the k oldest learnings of each shape.  Both are written tables.
+    """
+    shapes = oldest.select("signature", "cause_pattern").distinct()
+    postings = stage(
+        shapes.select(F.explode("signature").alias("_signal"), "signature", "cause_pattern"), "postings"
+    )
+    counts = stage(postings.groupBy("_signal").agg(F.count(F.lit(1)).alias("_n")), "signal-counts")
+    hot_postings = hot_postings or HOT_POSTINGS
+    hot = stage(counts.filter(F.col("_n") > hot_postings).select("_signal"), "common-signals")
+
+    # positions of a case's signals, rarest first; signals of no learning come first of all
+    asked = (
+        case_shapes.select("signals", "cause", F.explode("signals").alias("_signal"))
+        .join(broadcast_if_small(counts), "_signal", "left")
+        .withColumn("_n", F.coalesce("_n", F.lit(0)))
+    )
+    ranked = asked.groupBy("signals", "cause").agg(
+        F.sort_array(F.collect_list(F.struct("_n", "_signal"))).alias("_ranked")
+    )
+    least_share = (fv.SIMILARITY_MIN_SCORE - fv.SIMILARITY_CAUSE_WEIGHT * fv.SIMILARITY_OTHER_CAUSE) / fv.SIMILARITY_OVERLAP_WEIGHT
+    # more than this share must be met, so one of the others is (a hair less, for rounding)
+    prefix = F.size("signals") - F.floor(F.size("signals") * F.lit(least_share - 1e-9)).cast("int")
+    asked = ranked.select("signals", "cause", prefix.alias("_prefix"), F.posexplode("_ranked").alias("_pos", "_s")).select(
+        "signals", "cause", "_s._signal", "_s._n", (F.col("_pos") < F.col("_prefix")).alias("_early")
+    )
+    rare = asked.filter(F.col("_n").between(1, hot_postings)).join(postings, "_signal").filter(
+        F.col("_early") | F.col("cause").eqNullSafe(F.col("cause_pattern"))
+    )
+    by_rare = rare.select("signals", "cause", "signature", "cause_pattern").distinct().join(
+        oldest, ["signature", "cause_pattern"]
+    )
+    if not hot.head(1):
+        return by_rare.select("signals", "cause", "learning_id", "signature", "cause_pattern")
+
+    def parts(table: DataFrame, of: str, *keys: str) -> DataFrame:
+        """The common signals of each array, as a sorted part of it."""
+        exploded = table.select(*keys, of, F.explode(of).alias("_signal")).join(broadcast_if_small(hot), "_signal", "left_semi")
+        return exploded.groupBy(*keys, of).agg(F.sort_array(F.collect_list("_signal")).alias("_part"))
+
+    case_parts = stage(parts(case_shapes, "signals", "cause"), "case-parts")
+    learning_parts = stage(
+        first_per_group(
+            oldest.join(parts(shapes, "signature", "cause_pattern"), ["signature", "cause_pattern"]),
+            ["_part", "cause_pattern"], ["learning_id"], k,
+        ),
+        "learning-parts",
+    )
+    met = (
+        case_parts.select("_part").distinct().select(F.col("_part").alias("_asked"), F.explode("_part").alias("_signal"))
+        .join(learning_parts.select("_part").distinct().select("_part", F.explode("_part").alias("_signal")), "_signal")
+        .select("_asked", "_part").distinct()
+    )
+    by_common = (
+        case_parts.withColumnRenamed("_part", "_asked").join(met, "_asked").join(learning_parts, "_part")
+        .select("signals", "cause", "learning_id", "signature", "cause_pattern")
+    )
+    return by_rare.select(by_common.columns).unionByName(by_common)
+
+
 def similar_cases(cases: DataFrame, learnings: DataFrame, k: int = 3) -> DataFrame:
     """The k most similar learnings of each case.
 
@@ -52,14 +118,19 @@ def similar_cases(cases: DataFrame, learnings: DataFrame, k: int = 3) -> DataFra
     same cause, else 0.3); kept when above 0.3; best first, older first on ties.
 
     The score depends on signals and cause alone, so both sides collapse to their
-    distinct (signal set, cause) shapes, of which there are few, and only shapes
-    are compared:
-
-    * shapes that share a signal meet by an equality join on the signal;
-    * with the same cause and no shared signal the score is one constant, so only
-      the k oldest learnings of a cause can matter.
-
-    Learnings of one shape tie, so its k oldest stand for all of it.
+    distinct (signal set, cause) shapes, and only shapes are compared.  Learnings of
+    one shape tie, so its k oldest stand for all of it.  Shapes meet in three ways:
+
+    * by an index of the signals that stand in at most ``HOT_POSTINGS`` learning shapes.
+      With another cause a score above the limit needs more than a certain share of the
+      case's signals, so such a pair shares one of the rarest signals of the case, and
+      only these (a prefix, rarest first) ask for other causes;
+    * by signals more common than that, through the part of a shape that consists of them.
+      Learnings with one such part and cause share the same common signals with any
+      case, so if such a signal is all that a pair shares, one of the part's k oldest is
+      as good: only distinct parts are paired;
+    * with the same cause and no shared signal the score is one constant, so only the k
+      oldest learnings of a cause can matter.
     """
     shape = F.sort_array(F.array_distinct(F.coalesce("signals", F.array().cast("array<string>"))))
     shaped_cases = cases.select("case_id", shape.alias("signals"), "cause")
@@ -76,21 +147,11 @@ def similar_cases(cases: DataFrame, learnings: DataFrame, k: int = 3) -> DataFra
         ),
         "learning-shapes",
     )
-    learning_shapes = oldest.select("signature", "cause_pattern").distinct()
-
-    exploded_cases = case_shapes.withColumn("_signal", F.explode("signals"))
-    exploded_learnings = learning_shapes.withColumn("_signal", F.explode("signature"))
-    sharing = (
-        exploded_cases.join(exploded_learnings, "_signal")
-        .select("signals", "cause", "signature", "cause_pattern")
-        .distinct()
-        .join(oldest, ["signature", "cause_pattern"])
-    )
+    columns = ["signals", "cause", "learning_id", "signature", "cause_pattern"]
+    candidates = similar_candidates(case_shapes, oldest, k).select(columns)
     oldest_of_cause = first_per_group(oldest, ["cause_pattern"], ["learning_id"], k)
     same_cause = case_shapes.join(oldest_of_cause, F.col("cause") == F.col("cause_pattern"))
-
-    columns = ["signals", "cause", "learning_id", "signature", "cause_pattern"]
-    candidates = sharing.select(columns).unionByName(same_cause.select(columns)).distinct()
+    candidates = candidates.unionByName(same_cause.select(columns)).distinct()
     cause_match = F.when(F.col("cause_pattern") == F.col("cause"), 1.0).otherwise(fv.SIMILARITY_OTHER_CAUSE)
     score = (
         E.overlap_share("signals", "signature") * fv.SIMILARITY_OVERLAP_WEIGHT

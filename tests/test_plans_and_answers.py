@@ -1,11 +1,13 @@
 import itertools
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from kpiloom import fixed_values as fv
 from kpiloom.functions import json_text as J
 from kpiloom.operators import knowledge, payloads, planning, report, responses
+from kpiloom.session import stage
 from tests.conftest import table
 
 
@@ -172,6 +174,62 @@ def test_overlap_of_exactly_three_tenths_is_not_enough(spark):
     assert table(got, "learning_id") == [(2,)]
 
 
+def _best(cases, learned, k=3):
+    out = set()
+    for case, signals, cause in cases:
+        found = []
+        for i, signature, pattern in learned:
+            share = len(set(signals) & set(signature)) / max(len(set(signals)), 1)
+            score = share * 0.6 + (1.0 if pattern == cause else 0.3) * 0.4
+            if score > 0.3:
+                found.append((-round(score, 9), i))
+        out.update((case, rank, i) for rank, (_, i) in enumerate(sorted(found)[:k], 1))
+    return out
+
+
+@pytest.mark.parametrize("hot", [1, 5, 40, 1000])
+def test_similar_cases_of_free_form_signatures(spark, monkeypatch, hot):
+    """Common signals, rare signals and both, whatever counts as common."""
+    monkeypatch.setattr(knowledge, "HOT_POSTINGS", hot)
+    rng = random.Random(hot)
+    signals = [f"s{i}" for i in range(60)]
+    weights = [1 / (1 + i) for i in range(60)]
+
+    def some(most):
+        return list(dict.fromkeys(rng.choices(signals, weights, k=rng.randrange(most))))
+
+    cases = [(i, some(9), rng.choice(["a", "b", "c", None])) for i in range(120)] + [(500, ["s0", "new"], "a"), (501, [], "b")]
+    learned = [(i, some(7), rng.choice(["a", "b", "d"])) for i in range(300)] + [(900, ["s0"], "a"), (901, [], "b")]
+    got = knowledge.similar_cases(
+        spark.createDataFrame(cases, "case_id int, signals array<string>, cause string"),
+        spark.createDataFrame(learned, "learning_id int, signature array<string>, cause_pattern string"))
+    assert {(r["case_id"], r["rank"], r["learning_id"]) for r in got.collect()} == _best(cases, learned)
+
+
+def test_one_signal_shared_by_all_makes_few_pairs(spark):
+    """100,000 distinct signatures with one shared signal: pairs stay far from all of them."""
+    n = 100_000
+    learned = spark.range(n).select(
+        F.col("id").alias("learning_id"),
+        F.array(F.lit("shared"), F.concat(F.lit("own"), F.col("id").cast("string")), F.concat(F.lit("few"), (F.col("id") % 5000).cast("string"))).alias("signature"),
+        F.concat(F.lit("cause"), (F.col("id") % 3).cast("string")).alias("cause_pattern"))
+    asked = spark.range(2000).select(
+        F.col("id").alias("case_id"),
+        F.array(F.lit("shared"), F.concat(F.lit("few"), (F.col("id") % 5000).cast("string")), F.concat(F.lit("mine"), F.col("id").cast("string"))).alias("signals"),
+        F.concat(F.lit("cause"), (F.col("id") % 4).cast("string")).alias("cause"))
+    shape = lambda c: F.sort_array(c)
+    cases_ = stage(asked.select(shape("signals").alias("signals"), "cause").distinct())
+    oldest = stage(learned.select("learning_id", shape("signature").alias("signature"), "cause_pattern"))
+    pairs = knowledge.similar_candidates(cases_, oldest, 3).distinct().count()
+    assert 2000 * 20 <= pairs <= 2000 * 40  # of 2 * 10 ** 8
+    got = {r["case_id"]: [] for r in asked.collect()}
+    for r in knowledge.similar_cases(asked, learned).orderBy("rank").collect():
+        got[r["case_id"]].append((r["learning_id"], round(r["score"], 9)))
+    for i in (0, 1, 2, 3, 777, 1999):
+        fit = [(-(0.6 * 2 / 3 + (0.4 if j % 3 == i % 4 else 0.12)), j) for j in range(i % 5000, n, 5000)]
+        assert got[i] == [(j, round(-s, 9)) for s, j in sorted(fit)[:3]]
+
+
 def test_recommendations_need_citation_and_confidence(spark):
     similar = spark.createDataFrame([(1, 1, i) for i in range(4)], "case_id int, rank int, learning_id int")
     learned = spark.createDataFrame([(0, "yes", 0.905), (1, "", 0.9), (2, None, 0.9), (3, "half", 0.5)],
