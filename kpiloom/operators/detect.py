@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -63,6 +65,24 @@ def stratified_split(
     )
 
 
+#: Nodes that the trees of a forest, which live on the driver, may have together: at about
+#: 250 bytes each, 1 GB.  And rows that a tree is grown on at most.
+MOST_NODES = 4_000_000
+TREE_ROWS = 2_000_000
+
+
+def forest_bounds(rows: int, trees: int, max_depth: int, most_nodes: int = MOST_NODES, tree_rows: int = TREE_ROWS) -> tuple[int, float]:
+    """Least rows per leaf and share of rows per tree that keep ``trees`` trees within ``most_nodes`` nodes.
+
+    A tree on n rows with m rows to a leaf has at most 2 n / m nodes.  Trees get fewer rows
+    before leaves get more: a forest loses little by the first.
+    """
+    share = min(1.0, tree_rows / max(1, rows))
+    deepest = 2.0 ** (max_depth + 1) * trees
+    grown = 2.0 * rows * share * trees
+    return (1 if min(deepest, grown) <= most_nodes else math.ceil(grown / most_nodes)), share
+
+
 def train_detector(
     df: DataFrame,
     features: list[str],
@@ -70,14 +90,18 @@ def train_detector(
     trees: int = 200,
     max_depth: int = 30,
     seed: int = 42,
-    min_instances: int = 1,
-    subsampling: float = 1.0,
+    min_instances: int | None = None,
+    subsampling: float | None = None,
 ) -> PipelineModel:
     """Random forest on all features, NULL as 0.
 
-    Depth 30 is the deepest Spark grows.  ``min_instances`` and ``subsampling``
-    keep the trees, which live on the driver, of bounded size on very large data.
+    Depth 30 is the deepest Spark grows.  ``min_instances`` and ``subsampling`` follow from
+    the number of rows (:func:`forest_bounds`) unless given, so the trees on the driver have
+    a bounded size whatever the table.
     """
+    if min_instances is None or subsampling is None:
+        least, share = forest_bounds(df.count(), trees, max_depth)
+        min_instances, subsampling = min_instances or least, subsampling or share
     data = fill_features(df, features).withColumn("_label", F.col(label).cast("double"))
     forest = RandomForestClassifier(
         labelCol="_label",
@@ -312,6 +336,84 @@ def occlusion_contributions(
     )
 
 
+#: Up to so many features all coalitions are scored; beyond, permutations are drawn.
+EXACT_FEATURES = 6
+
+
+def shapley_contributions(
+    model: PipelineModel, rows: DataFrame, features: list[str], baselines: DataFrame,
+    entity: str = "cell_name", key: str = "case_id", pairs: int = 8, exact_features: int = EXACT_FEATURES,
+) -> DataFrame:
+    """``key, feature, contribution, standard_error``: Shapley values of P(row) against P(normal values).
+
+    Normal is the entity baseline, or 0 for deviation features.  Features change from
+    normal to their own value one by one; a feature's contribution is the mean change
+    of the probability when its turn comes.  Orders are drawn by a hash of the key, each
+    with its reverse (``pairs`` times two); all states of all cases are rows of one scoring
+    pass.  Over any order the changes add up to P(row) - P(normal), so the contributions
+    do.  With few features all coalitions are scored instead, and the error is 0.
+
+    Keys must be unique; meant for incident rows.
+    """
+    bases = [f for f in features if f in baselines.columns]
+    filled = fill_features(rows.select(key, entity, *features), features)
+    looked_up = with_baseline(filled, baselines, bases, entity)
+    normal = {f: F.coalesce(F.col(f"base_{f}"), F.lit(0.0)) if f in bases else F.lit(0.0) for f in features}
+
+    def state(own: dict[str, Column]) -> list[Column]:
+        return [F.when(own[f], F.col(f).cast("double")).otherwise(normal[f]).alias(f) for f in features]
+
+    n = len(features)
+    if n <= exact_features:
+        masks = F.explode(F.sequence(F.lit(0), F.lit(2**n - 1)))
+        states = looked_up.withColumn("_mask", masks).select(
+            key, "_mask", *state({f: F.col("_mask").bitwiseAND(1 << i) != 0 for i, f in enumerate(features)})
+        )
+        scored = score(model, states, features).select(key, "_mask", "probability")
+        size = F.bit_count("_mask")
+        weight = [math.factorial(k) * math.factorial(n - k - 1) / math.factorial(n) for k in range(n)]
+        weights = F.array(*[F.lit(w) for w in weight])
+        values = [
+            F.sum(F.col("probability") * F.when(
+                F.col("_mask").bitwiseAND(1 << i) != 0, F.get(weights, size - 1)
+            ).otherwise(-F.get(weights, size))).alias(f)
+            for i, f in enumerate(features)
+        ]
+        found = scored.groupBy(key).agg(*values)
+        cells = [F.struct(F.lit(f).alias("feature"), F.col(f).alias("contribution"), F.lit(0.0).alias("standard_error")) for f in features]
+        return found.select(key, F.inline(F.array(*cells)))
+
+    drawn = F.transform(
+        F.sort_array(F.array(*[
+            F.struct(F.xxhash64(F.col(key), F.col("_pair"), F.lit(i)).alias("h"), F.lit(i).alias("i")) for i in range(n)
+        ])), lambda x: x["i"],
+    )
+    ordered = (
+        looked_up.withColumn("_pair", F.explode(F.sequence(F.lit(1), F.lit(pairs))))
+        .withColumn("_drawn", drawn)
+        .withColumn("_way", F.explode(F.array(F.lit(0), F.lit(1))))
+        .withColumn("_order", F.when(F.col("_way") == 0, F.col("_drawn")).otherwise(F.reverse("_drawn")))
+        .withColumn("_step", F.explode(F.sequence(F.lit(0), F.lit(n))))
+    )
+    states = ordered.select(
+        key, "_pair", "_way", "_step", F.when(F.col("_step") > 0, F.get("_order", F.col("_step") - 1)).alias("_turn"),
+        *state({f: F.array_position("_order", F.lit(i)) <= F.col("_step") for i, f in enumerate(features)}),
+    )
+    scored = score(model, states, features).select(key, "_pair", "_way", "_step", "_turn", "probability")
+    # one row per order, with at most one entry per feature and one more
+    steps = scored.groupBy(key, "_pair", "_way").agg(
+        F.sort_array(F.collect_list(F.struct("_step", "_turn", "probability"))).alias("_s")
+    )
+    names = F.array(*[F.lit(f) for f in features])
+    changes = F.transform(F.sequence(F.lit(1), F.lit(n)), lambda k: F.struct(
+        F.get(names, F.get("_s", k)["_turn"]).alias("feature"),
+        (F.get("_s", k)["probability"] - F.get("_s", k - 1)["probability"]).alias("change"),
+    ))
+    each = steps.select(key, "_pair", F.inline(changes)).groupBy(key, "feature", "_pair").agg(F.avg("change").alias("mean"))
+    error = F.coalesce(F.stddev_samp("mean") / F.sqrt(F.count("mean")), F.lit(0.0))
+    return each.groupBy(key, "feature").agg(F.avg("mean").alias("contribution"), error.alias("standard_error"))
+
+
 def attribution_columns(contributions: DataFrame, features: list[str], key: str = "case_id") -> DataFrame:
     """Wide form of the contributions: one column ``attr_<feature>`` each, one row per case."""
     return contributions.groupBy(key).agg(

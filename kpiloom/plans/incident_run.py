@@ -120,7 +120,7 @@ def build_cases(
         profiled = responses.coalesce_response(profiled, picked, "fingerprint").drop("source")
     if model is not None:
         last = stage(last.select("case_id", entity, *used), "case-rows")
-        moved = detect.occlusion_contributions(model, last, used, baselines, entity)
+        moved = detect.shapley_contributions(model, last, used, baselines, entity)
         profiled = profiled.join(detect.attribution_columns(moved, used), "case_id", "left")
         strongest = fingerprint.top_attributions({f: F.col(f"attr_{f}") for f in used})
         profiled = profiled.withColumn("fingerprint", F.concat("fingerprint", strongest)).drop(*[f"attr_{f}" for f in used])

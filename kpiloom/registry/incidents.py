@@ -274,13 +274,19 @@ def stratified_split(spark, d):
     return detect.stratified_split(kpi_r(spark, d)).select("event_id", "is_anomaly", "is_test")
 
 
+_MODELS: dict = {}
+
+
 def _trained(spark, d):
-    rows = features.add_deviation_pct(kpi_r(spark, d), baselines(spark, d))
-    used = features.model_features(rows)
-    split = stage(detect.stratified_split(rows), "split")
-    # A small forest: the operator's default is 200 trees of depth 30.
-    model = detect.train_detector(split.filter("NOT is_test"), used, trees=20, max_depth=10)
-    return model, used, split
+    """The detector with its defaults (200 trees of depth 30), trained once per application and directory."""
+    at = (spark.sparkContext.applicationId, d)
+    if at not in _MODELS:
+        rows = features.add_deviation_pct(kpi_r(spark, d), baselines(spark, d))
+        used = features.model_features(rows)
+        split = stage(detect.stratified_split(rows), "split")
+        _MODELS.clear()
+        _MODELS[at] = detect.train_detector(split.filter("NOT is_test"), used), used, split
+    return _MODELS[at]
 
 
 @query("detector_scores")
@@ -317,6 +323,32 @@ def occlusion_contributions(spark, d):
     return detect.occlusion_contributions(model, rows, used, baselines(spark, d))
 
 
+@query("shapley_contributions")
+def shapley_contributions(spark, d):
+    model, used, split = _trained(spark, d)
+    rows = features.anomalies(split).withColumn("case_id", F.col("event_id"))
+    return detect.shapley_contributions(model, rows, used, baselines(spark, d), pairs=1)
+
+
+@query("shapley_sums", check_sql(
+    "SELECT count(*) AS n_cases, count(*) * 24 AS n_values, 0::bigint AS n_off FROM kpi WHERE is_anomaly", "kpi"))
+def shapley_sums(spark, d):
+    """Cases whose contributions do not add up to P(row) - P(normal); one count, always 0."""
+    model, used, split = _trained(spark, d)
+    rows = features.anomalies(split).withColumn("case_id", F.col("event_id"))
+    base = baselines(spark, d)
+    sums = detect.shapley_contributions(model, rows, used, base, pairs=1).groupBy("case_id").agg(
+        F.sum("contribution").alias("total"), F.count(F.lit(1)).alias("n"))
+    looked_up = features.with_baseline(rows.select("case_id", "cell_name"), base, [f for f in used if f in base.columns])
+    normal = looked_up.select("case_id", *[
+        (F.coalesce(f"base_{f}", F.lit(0.0)) if f in base.columns else F.lit(0.0)).alias(f) for f in used])
+    own = detect.score(model, rows, used).select("case_id", F.col("probability").alias("p"))
+    none = detect.score(model, normal, used).select("case_id", F.col("probability").alias("p0"))
+    off = F.abs(F.col("total") - (F.col("p") - F.col("p0"))) > 1e-6
+    return sums.join(own, "case_id").join(none, "case_id").agg(
+        F.count(F.lit(1)).alias("n_cases"), F.sum("n").alias("n_values"), F.count_if(off).alias("n_off"))
+
+
 # ---- verification --------------------------------------------------------------------------
 
 _CTX = " UNION ALL ".join(

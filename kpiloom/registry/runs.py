@@ -66,9 +66,9 @@ def run_closure(spark, d):
 
 @query("trained_run")
 def trained_run(spark, d):
-    """The run with a trained forest (a small one), so the detections are its own."""
+    """The run with a forest trained at its defaults, so the detections are its own."""
     run = incident_run.run_incidents(
-        views.kpi_view(spark, d), _answers(spark, d), trees=20, max_depth=10, lookback_seconds=SIX_HOURS,
+        views.kpi_view(spark, d), _answers(spark, d), lookback_seconds=SIX_HOURS,
         ahead_seconds=SIX_HOURS,
     )
     return run.cases.select("case_id", "cell_name", "rca.primary_cause", "detection.max_probability", "closed")

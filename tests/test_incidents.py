@@ -1,4 +1,6 @@
 import bisect
+import itertools
+import math
 import random
 
 import numpy as np
@@ -242,6 +244,71 @@ def test_train_score_attribute_and_reload(spark, tmp_path):
     assert wide.columns == ["case_id", "attr_x", "attr_y"] and wide.count() == 120
 
 
+@pytest.fixture(scope="module")
+def interacting(spark):
+    """A forest on a label that needs two features together, and rows to explain."""
+    rng = random.Random(5)
+    names = ["a", "b", "c", "d"]
+    data = [(i, rng.choice("XY"), *[rng.random() for _ in names]) for i in range(800)]
+    df = spark.createDataFrame(data, "case_id int, cell_name string, " + ", ".join(f"{n} double" for n in names))
+    df = df.withColumn("is_anomaly", (F.col("a") > 0.5) & (F.col("b") > 0.5))
+    base = stage(spark.createDataFrame([("X", 0.1, 0.1, 0.5), ("Y", 0.2, 0.9, 0.4)], "cell_name string, a double, b double, c double"))
+    return detect.train_detector(df, names, trees=10, max_depth=6), df.where("case_id < 40"), names, base
+
+
+def _by_enumeration(spark, model, rows, names, base):
+    """Shapley values from the definition, over all orders."""
+    bases = {r["cell_name"]: r.asDict() for r in base.collect()}
+    states, wanted = [], []
+    for r in rows.collect():
+        for mask in itertools.product([0, 1], repeat=len(names)):
+            values = [r[n] if m else bases[r["cell_name"]].get(n, 0.0) for n, m in zip(names, mask)]
+            states.append((r["case_id"], str(mask), *values))
+    df = spark.createDataFrame(states, "case_id int, mask string, " + ", ".join(f"{n} double" for n in names))
+    p = {(r["case_id"], r["mask"]): r["probability"] for r in detect.score(model, df, names).collect()}
+    for r in rows.collect():
+        for i, name in enumerate(names):
+            total = 0.0
+            for order in itertools.permutations(range(len(names))):
+                before = [int(j in order[: order.index(i)]) for j in range(len(names))]
+                after = [int(b or j == i) for j, b in enumerate(before)]
+                total += p[r["case_id"], str(tuple(after))] - p[r["case_id"], str(tuple(before))]
+            wanted.append((r["case_id"], name, total / math.factorial(len(names))))
+    return {(c, n): v for c, n, v in wanted}, p
+
+
+def test_shapley_values_equal_full_enumeration(spark, interacting):
+    model, rows, names, base = interacting
+    want, p = _by_enumeration(spark, model, rows, names, base)
+    got = {(r["case_id"], r["feature"]): r for r in detect.shapley_contributions(model, rows, names, base).collect()}
+    assert got.keys() == want.keys()
+    for at, v in want.items():
+        assert got[at]["contribution"] == pytest.approx(v, abs=1e-9) and got[at]["standard_error"] == 0.0
+
+
+def test_drawn_orders_add_up_and_state_their_error(spark, interacting):
+    model, rows, names, base = interacting
+    want, p = _by_enumeration(spark, model, rows, names, base)
+    got = {(r["case_id"], r["feature"]): r
+           for r in detect.shapley_contributions(model, rows, names, base, pairs=24, exact_features=0).collect()}
+    ends = str((1,) * len(names)), str((0,) * len(names))
+    for case in {c for c, _ in want}:
+        total = sum(got[case, n]["contribution"] for n in names)
+        assert total == pytest.approx(p[case, ends[0]] - p[case, ends[1]], abs=1e-6)
+    off = [abs(got[at]["contribution"] - v) - 4 * got[at]["standard_error"] for at, v in want.items()]
+    assert max(off) < 0.02 and max(r["standard_error"] for r in got.values()) > 0
+    again = detect.shapley_contributions(model, rows.repartition(5), names, base, pairs=24, exact_features=0)
+    assert all(got[r["case_id"], r["feature"]]["contribution"] == pytest.approx(r["contribution"], abs=1e-12) for r in again.collect())
+
+
+@pytest.mark.parametrize("rows, trees, depth", [(10, 200, 30), (10**5, 200, 30), (10**9, 200, 30), (10**13, 200, 30), (10**9, 20, 10)])
+def test_forest_stays_within_its_nodes(rows, trees, depth):
+    least, share = detect.forest_bounds(rows, trees, depth)
+    assert 0 < share <= 1 and rows * share <= detect.TREE_ROWS * 1.01
+    assert min(2.0 ** (depth + 1) * trees, 2 * rows * share / least * trees) <= detect.MOST_NODES
+    assert least == 1 or rows > 10**4
+
+
 def test_detection_rollup(spark):
     df = spark.createDataFrame([(1, 0, 0.2), (1, 1, 0.9), (2, 0, 0.5)], "case_id int, prediction int, probability double")
     assert [tuple(r) for r in detect.detect_batches(df).collect()] == [(1, True, 1, 0.9, 2)]
