@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -98,6 +99,34 @@ def lookup(
     return dealt.join(copies, [key, "_salt"], how).drop("_salt")
 
 
+#: Bits of a filter, 16 MB, whatever the input.
+FILTER_BITS = 27
+
+
+def bit_filter(slots: DataFrame, slot_bits: int) -> np.ndarray:
+    """Bits at the leading digits of the numbers in column ``slot`` (below ``2 ** slot_bits``), set on Spark.
+
+    Its size is fixed, so it may be broadcast whatever the input; the fuller it is, the
+    more it lets through, and it never misses a number that was set.
+    """
+    bit = F.expr(f"shiftright(slot, {slot_bits - FILTER_BITS})")
+    rows = (
+        slots.select(bit.alias("bit"))
+        .groupBy(F.shiftright("bit", 6).cast("int").alias("word"))
+        .agg(F.expr("bit_or(shiftleft(1L, cast(bit & 63 as int)))").alias("bits"))
+        .toArrow()
+    )
+    out = np.zeros(1 << (FILTER_BITS - 6), dtype=np.int64)
+    out[rows.column("word").to_numpy()] = rows.column("bits").to_numpy()
+    return out
+
+
+def hits(bits: np.ndarray, slots: np.ndarray, slot_bits: int) -> np.ndarray:
+    """Which of the numbers the filter may hold."""
+    bit = slots >> (slot_bits - FILTER_BITS)
+    return (bits[bit >> 6] >> (bit & 63) & 1).astype(bool)
+
+
 def word_runs(data: bytes, size: int = 4_000_000):
     """Lists of the words of a text, run by run: a very long text is never one list."""
     if len(data) <= size:

@@ -17,8 +17,12 @@ offsets into the original text, in code points.
 Words are runs of word characters; in scripts without blanks every two characters
 count as one, and symbols beyond ASCII count too.
 
-Grouping is partial before the shuffle and the way back deals hot digests in turn, so
-a line that stands in a third of all documents lands in no task whole.
+What moves is narrow.  A unit is written as its document's key, its number in the text
+and its digest.  A first count by 48 bits of the digest sets the bits of a filter of
+fixed size; a unit that misses it stands once in the corpus and never moves again.
+The others are grouped by the whole digest, hot digests dealt in turn on the way back, and
+a document gets the numbers of its repeated units, from which the places follow by
+cutting its text into units once more.
 
 Defined results: null text counts as empty and stays null, nothing is cut; rows that
 agree in id and text count as one document, so they stay alike; a null id ranks
@@ -27,14 +31,18 @@ first; an empty table gives an empty table; other columns are handed on untouche
 
 from __future__ import annotations
 
+import re
+import unicodedata
+
+import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kpiloom.llm.common import lookup, packed, ship, unpacked
+from kpiloom.llm.common import bit_filter, hits, lookup, packed, ship, unpacked
 from kpiloom.session import stage
 
 LEAST_LINE = 8
@@ -52,21 +60,42 @@ _WORD = regex.compile(r"\w+")
 _WORD_WIDE = regex.compile(rf"[{_SOLID}]{{1,2}}|[^\W{_SOLID}]+|{_SYMBOL}+")
 #: What only the wide patterns tell apart; elsewhere both give the same.
 _WIDE = regex.compile(rf"[{_SOLID}。．！？，、；：｡､…།]|{_SYMBOL}")
+#: Anything but ASCII and the Latin letters up to U+02AF; without any, the faster engine's patterns mean the same.
+_OTHER = re.compile("[\x1c-\x1f\x85\xa0-\xbf\xd7\xf7\u02b0-\U0010ffff]")
+_CAPITALS = "".join(c for c in map(chr, range(0x2B0)) if unicodedata.category(c) == "Lu")
+_CUT_LATIN = re.compile(rf"[.!?,;:]+[\"')\]]*\s+|\s+(?=[{_CAPITALS}])")
+_WORD_LATIN = re.compile(r"\w+")
 CLAUSE, LINE, END = 0, 1, 2
+#: Leading bits of a digest that the first count goes by.
+SLOT_BITS = 48
 
 
 def _digest(seed: int, words: list[str]) -> bytes:
     return xxhash.xxh3_128_digest(" ".join(words).encode("utf-8", "surrogatepass"), seed)
 
 
-def units(text: str):
-    """Kind, start, stop, first word, word after the last, and digest of every unit, those of a kind in order."""
-    cut, a_word = (_CUT, _WORD) if text.isascii() or not _WIDE.search(text) else (_CUT_WIDE, _WORD_WIDE)
+def units(text: str, hashed: bool = True):
+    """Kind, start, stop, first word, word after the last, and digest of every unit, those of a kind in order.
+
+    Without ``hashed`` the digests are empty, for those who only want the places.
+    """
+    digest = _digest if hashed else (lambda seed, words: b"")
+    low = text.lower()
+    if not _OTHER.search(text) and not _OTHER.search(low):
+        cut, a_word = _CUT_LATIN, _WORD_LATIN
+    else:
+        cut, a_word = (_CUT_WIDE, _WORD_WIDE) if _WIDE.search(text) else (_CUT, _WORD)
+    if len(low) == len(text):  # as nearly always: places in both are the same
+        def words_in(start, stop):
+            return a_word.findall(low, start, stop)
+    else:
+        def words_in(start, stop):
+            return a_word.findall(text[start:stop].lower())
     word, clauses, begin = 0, [], 0
     for line in _LINE.finditer(text):
         at, stop, first, whole = line.start(), line.end(), word, []
         for end in (*(m.end() for m in cut.finditer(text, at, stop)), stop):
-            words = a_word.findall(text[at:end].lower())
+            words = words_in(at, end)
             if words:
                 clauses.append((begin, end, word, words))
                 whole += words
@@ -77,7 +106,7 @@ def units(text: str):
                 begin = end
             at = end
         if len(whole) >= LEAST_LINE:
-            yield LINE, line.start(), stop, first, word, _digest(LINE, whole)
+            yield LINE, line.start(), stop, first, word, digest(LINE, whole)
     for i, (at, end, first, words) in enumerate(clauses):
         j = i + 1
         while len(words) < LEAST_UNIT and j < len(clauses):
@@ -88,59 +117,91 @@ def units(text: str):
             while len(words) < LEAST_UNIT and j:
                 j -= 1
                 words = clauses[j][3] + words
-        yield CLAUSE, at, end, first, last, _digest(seed, words)
+        yield CLAUSE, at, end, first, last, digest(seed, words)
 
 
 def unit_table(rows: DataFrame) -> DataFrame:
-    """One row per unit of ``doc`` and ``text``; ``seq`` numbers the units of a kind."""
+    """``id, key, no, h1, h2`` of every unit: number in its text, and the digest as two numbers."""
     ship(rows.sparkSession)
-    names = ["kind", "seq", "start", "stop", "first_word", "last_word", "digest"]
-    kinds = [*[pa.int32()] * 6, pa.binary()]
+    names = ["id", "key", "no", "h1", "h2"]
     schema = T.StructType([
-        rows.schema["doc"], *[T.StructField(c, T.IntegerType()) for c in names[:-1]],
-        T.StructField("digest", T.BinaryType()),
+        rows.schema["id"], rows.schema["key"], T.StructField("no", T.IntegerType()),
+        T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType()),
     ])
-    frame = rows.select("doc", "text")
 
     def run(batches):
         for batch in batches:
             for low in range(0, batch.num_rows, 512):
                 part = batch.slice(low, 512)
-                row, found = [], []
-                for k, x in enumerate(part.column(1)):
-                    seen = [0, 0]
-                    for kind, *rest in units(x.as_py()):
-                        row.append(k)
-                        found.append((kind, seen[kind], *rest))
-                        seen[kind] += 1
-                columns = list(zip(*found)) or [[]] * len(names)
+                found = [b"".join([u[-1] for u in units(x.as_py())]) for x in part.column(2)]
+                sizes = np.fromiter(map(len, found), np.int64, len(found)) // 16
+                digests = np.frombuffer(b"".join(found), dtype="<i8")
+                row = pa.array(np.repeat(np.arange(len(sizes)), sizes))
+                number = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(row, pa.int64())), *[pa.array(c, t) for c, t in zip(columns, kinds)]],
-                    ["doc", *names],
+                    [part.column(0).take(row), part.column(1).take(row), pa.array(number.astype(np.int32)),
+                     pa.array(digests[::2]), pa.array(digests[1::2])],
+                    names,
                 )
 
-    return frame.mapInArrow(run, schema)
+    return rows.select("id", "key", "text").mapInArrow(run, schema)
+
+
+def _maybe_repeated(all_units: DataFrame) -> DataFrame:
+    """``id, key, no, digest`` of the units whose digest may stand more than once: all that do, and few others."""
+    slot = F.shiftrightunsigned("h1", 64 - SLOT_BITS)
+    often = stage(
+        all_units.select(slot.alias("slot")).groupBy("slot").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("slot"),
+        "often",
+    )
+    sent = all_units.sparkSession.sparkContext.broadcast(bit_filter(often, SLOT_BITS))
+    fields = all_units.schema
+    schema = T.StructType([*fields.fields[:3], T.StructField("digest", T.BinaryType())])
+
+    def run(batches):
+        for batch in batches:
+            h1, h2 = (batch.column(k).to_numpy() for k in (3, 4))
+            at = np.flatnonzero(hits(sent.value, (h1.view(np.uint64) >> np.uint64(64 - SLOT_BITS)).astype(np.int64), SLOT_BITS))
+            digests = np.stack((h1[at], h2[at]), axis=1).tobytes()
+            found = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(at), [None, pa.py_buffer(digests)])
+            rows = pa.array(at)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(k).take(rows) for k in range(3)), found.cast(pa.binary())], schema.names
+            )
 
+    return all_units.mapInArrow(run, schema)
 
-def repeated_spans(rows: DataFrame, least_run: int = LEAST_RUN) -> DataFrame:
-    """``doc, spans`` for documents that lose something; spans are sorted, lines and runs may overlap."""
-    all_units = stage(unit_table(rows), "units")
+
+def repeated_units(rows: DataFrame) -> DataFrame:
+    """``id, key, numbers``: of each document with any, its units that stand earlier in the corpus."""
+    found = stage(_maybe_repeated(stage(unit_table(rows), "units")), "maybe-repeated")
+    place = F.struct("id", "key", "no")
     firsts = stage(
-        all_units.groupBy("digest")
-        .agg(F.min(F.struct("doc", "start")).alias("first"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1),
-        "firsts",
+        found.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"), "firsts"
     )
     later = lookup(
-        all_units, firsts.select("digest", "first"), "digest", "inner", counts=firsts.select("digest", "n")
-    ).where(~F.struct("doc", "start").eqNullSafe(F.col("first")))
-    in_doc = Window.partitionBy("doc", "kind").orderBy("seq")
-    run = F.when(F.col("kind") == LINE, F.col("seq")).otherwise(F.col("seq") - F.row_number().over(in_doc))
-    runs = later.drop("digest", "first").dropDuplicates(["doc", "kind", "seq"]).withColumn("run", run)
-    spans = runs.groupBy("doc", "kind", "run").agg(
-        F.min("start").alias("start"), F.max("stop").alias("stop"),
-        (F.max("last_word") - F.min("first_word")).alias("words"),
-    ).where((F.col("kind") == LINE) | (F.col("words") >= least_run))
-    return spans.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans"))
+        found, firsts.select("digest", "first"), "digest", "inner", counts=firsts.select("digest", "n")
+    ).where(~place.eqNullSafe(F.col("first")))
+    return later.groupBy("id", "key").agg(F.collect_set("no").alias("numbers"))
+
+
+def spans(text: str, numbers: set[int], least_run: int = LEAST_RUN) -> list[dict]:
+    """Places of repeated lines and of long enough runs of repeated clauses, disjoint and in order."""
+    places, run = [], None
+    for number, (kind, start, stop, first, last, _) in enumerate(units(text, hashed=False)):
+        if kind == LINE:
+            if number in numbers:
+                places.append({"start": start, "stop": stop})
+            continue
+        if number not in numbers:
+            run = None
+        elif run is None:
+            run = {"start": start, "stop": stop, "first": first, "last": last}
+            places.append(run)
+        else:
+            run["stop"], run["last"] = max(run["stop"], stop), max(run["last"], last)
+    kept = [p for p in places if "first" not in p or p["last"] - p["first"] >= least_run]
+    return joined(sorted(({"start": p["start"], "stop": p["stop"]} for p in kept), key=lambda p: (p["start"], p["stop"])))
 
 
 def joined(places: list[dict]) -> list[dict]:
@@ -154,36 +215,43 @@ def joined(places: list[dict]) -> list[dict]:
     return out
 
 
-def _cut(frame: DataFrame) -> DataFrame:
-    """``_text`` without the places in ``spans``, which are made disjoint."""
+def _cut(frame: DataFrame, least_run: int) -> DataFrame:
+    """``_text`` without its repeated units, whose places come as ``spans`` instead of ``numbers``."""
     names = frame.columns
-    text_at, spans_at = names.index("_text"), names.index("spans")
+    text_at, numbers_at = names.index("_text"), names.index("numbers")
+    places_type = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("stop", T.IntegerType())]))
+    schema = T.StructType([
+        T.StructField("spans", places_type) if f.name == "numbers" else f for f in frame.schema.fields
+    ])
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
 
     def run(batches):
         for batch in batches:
             for low in range(0, batch.num_rows, 512):
-                part, texts, spans = batch.slice(low, 512), [], []
-                for x, places in zip(part.column(text_at), part.column(spans_at)):
-                    text, at, parts = x.as_py(), 0, []
-                    spans.append(joined(places.as_py() or []))
-                    for place in spans[-1]:
-                        parts.append(text[at : place["start"]])
+                part, texts, found = batch.slice(low, 512), [], []
+                for x, numbers in zip(part.column(text_at), part.column(numbers_at)):
+                    text, at, pieces = x.as_py(), 0, []
+                    found.append(spans(text, set(numbers.as_py()), least_run) if numbers.is_valid else [])
+                    for place in found[-1]:
+                        pieces.append(text[at : place["start"]])
                         at = place["stop"]
-                    texts.append(text if text is None else "".join(parts) + text[at:])
+                    texts.append(text if text is None else "".join(pieces) + text[at:])
                 part = part.set_column(text_at, part.schema.field(text_at), pa.array(texts, pa.string()))
-                field = part.schema.field(spans_at)
-                yield part.set_column(spans_at, field, pa.array(spans, field.type))
+                yield part.set_column(numbers_at, pa.field("spans", kind), pa.array(found, kind))
 
-    return frame.mapInArrow(run, frame.schema)
+    return frame.mapInArrow(run, schema)
 
 
 def _marked(docs: DataFrame, id: str, text: str, least_run: int) -> DataFrame:
     """``_row``, ``_id``, ``_text`` (cut) and ``spans`` of every row."""
-    doc = F.struct(F.col("_id").alias("id"), F.xxhash64("_text").alias("text")).alias("doc")
     frame = packed(docs, _id=id, _text=text)
-    rows = frame.where(F.col("_text").isNotNull()).select(doc, F.col("_text").alias("text"))
-    spans = stage(repeated_spans(rows, least_run), "spans")
-    return _cut(lookup(frame.withColumn("doc", doc), spans, "doc").drop("doc"))
+    rows = frame.where(F.col("_text").isNotNull()).select(
+        F.col("_id").alias("id"), F.xxhash64("_text").alias("key"), F.col("_text").alias("text")
+    )
+    # nulls inside a struct are equal, so a null id finds its numbers
+    found = stage(repeated_units(rows).select(F.struct("id", "key").alias("doc"), "numbers"), "repeated")
+    keyed = frame.withColumn("doc", F.struct(F.col("_id").alias("id"), F.xxhash64("_text").alias("key")))
+    return _cut(lookup(keyed, found, "doc").drop("doc"), least_run)
 
 
 def remove_repeats(

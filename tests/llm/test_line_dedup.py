@@ -1,7 +1,10 @@
 import random
+import re
 
 import brutes
 from corpus_samples import ODD_TEXTS
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from kpiloom.llm import line_dedup
 
@@ -34,6 +37,18 @@ def test_against_brute_force(spark, docs_of):
     assert all(r["n_chars"] == (None if r["text"] is None else len(r["text"])) and r["size"] == "extra" for r in kept.collect())
 
 
+@given(st.text(max_size=120) | st.text(alphabet="aB1_é ÀŒǅĳʯªß.,;'\")\n\t\x1c\x85\xa0×İ日", max_size=200))
+@settings(max_examples=500, deadline=None)
+def test_the_faster_patterns_give_the_same_units(text):
+    got = list(line_dedup.units(text))
+    fast, line_dedup._OTHER = line_dedup._OTHER, re.compile("")  # finds something in every text
+    try:
+        assert got == list(line_dedup.units(text))
+    finally:
+        line_dedup._OTHER = fast
+    assert [u[:-1] for u in got] == [u[:-1] for u in line_dedup.units(text, hashed=False)]
+
+
 def test_offsets_point_into_the_original(spark, docs_of):
     rng = random.Random(6)
     passage = sentences(rng, 12)
