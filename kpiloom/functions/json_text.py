@@ -64,6 +64,11 @@ def field(value: Column, path: str, as_type: str) -> Column:
     return F.try_variant_get(value, path, as_type)
 
 
+def present_or(value: Column, path: str, as_type: str, default: Column) -> Column:
+    """Typed value at a path; ``default`` when it is absent, NULL when it is a JSON null."""
+    return F.when(field(value, path, "variant").isNull(), default).otherwise(field(value, path, as_type))
+
+
 def has_keys(value: Column, keys: list[str]) -> Column:
     """True when the value is an object holding every key (a JSON null counts)."""
     present = [field(value, f"$.{k}", "variant").isNotNull() for k in keys]

@@ -97,7 +97,8 @@ def signal_response(responses: DataFrame, k: int = fv.TOP_SIGNALS, case: str = "
 def diagnosis_response(responses: DataFrame, case: str = "case_id") -> DataFrame:
     """Cause, confidence and evidence of an answer; unknown causes become inconclusive.
 
-    The confidence is taken as given, without clamping.
+    The confidence is taken as given, without clamping.  Lists that are absent are empty; a
+    JSON null stays NULL.
     """
     json = F.col("json")
     cause = J.field(json, "$.primary_cause", "string")
@@ -114,13 +115,16 @@ def diagnosis_response(responses: DataFrame, case: str = "case_id") -> DataFrame
                 F.when(cause.isin(list(fv.CAUSE_CONFIDENCE)), cause)
                 .otherwise("inconclusive").alias("primary_cause"),
                 confidence.alias("confidence"),
-                F.coalesce(J.field(json, "$.evidence", "array<string>"), E.lit_array([])).alias("evidence"),
-                F.coalesce(J.field(json, "$.secondary", secondary), F.array().cast(secondary)).alias("secondary"),
+                J.present_or(json, "$.evidence", "array<string>", E.lit_array([])).alias("evidence"),
+                J.present_or(json, "$.secondary", secondary, F.array().cast(secondary)).alias("secondary"),
             ),
         ).alias("rca"),
     )
 
 
+_SAFETY = "struct<blast_radius_ok:boolean,prechecks_passed:boolean,change_window_ok:boolean>"
+
+
 def execution_response(responses: DataFrame, actions: Column | str | None = None, case: str = "case_id") -> DataFrame:
     """Execution record of an answer; any JSON counts.
 
@@ -133,6 +137,7 @@ def execution_response(responses: DataFrame, actions: Column | str | None = None
         F.coalesce(J.field(json, "$.executed", item), F.array().cast(item)).alias("executed"),
         J.field(json, "$.status", "string").alias("status"),
         J.field(json, "$.mode", "string").alias("mode"),
+        J.field(json, "$.safety_checks", _SAFETY).alias("safety_checks"),
     )
     planned = F.array().cast(item) if actions is None else F.transform(
         E.col(actions),
@@ -144,7 +149,8 @@ def execution_response(responses: DataFrame, actions: Column | str | None = None
             F.lit(None).cast("string").alias("reason"),
         ),
     )
-    fallback = F.struct(planned.alias("executed"), F.lit("ok").alias("status"), F.lit("simulated").alias("mode"))
+    fallback = F.struct(planned.alias("executed"), F.lit("ok").alias("status"), F.lit("simulated").alias("mode"),
+                        F.lit(None).cast(_SAFETY).alias("safety_checks"))
     return parsed(responses).select(
         case,
         json.isNotNull().alias("valid"),
@@ -157,12 +163,21 @@ def verdict_response(responses: DataFrame, case: str = "case_id") -> DataFrame:
     json = F.col("json")
     complete = F.coalesce(J.has_keys(json, fv.REQUIRED_VERDICT_KEYS), F.lit(False))
     checks = "array<struct<postcheck:string,ok:boolean,evidence:string>>"
+    improvements = F.transform_values(
+        J.field(json, "$.kpi_improvements", "map<string,variant>"),
+        lambda _, v: F.struct(
+            J.number(v, "$.before").alias("before"), J.number(v, "$.after").alias("after"),
+            J.number(v, "$.change_pct").alias("change_pct"), J.field(v, "$.improved", "boolean").alias("improved"),
+        ),
+    )
     return parsed(responses).select(
         case,
         complete.alias("valid"),
         F.when(complete, J.truthy(json, "$.closed")).alias("closed"),
         F.when(complete, J.field(json, "$.checks", checks)).alias("checks"),
         F.when(complete, J.field(json, "$.residual_risk", "string")).alias("residual_risk"),
+        F.when(complete, improvements).alias("kpi_improvements"),
+        F.when(complete, J.field(json, "$.overall_assessment", "string")).alias("overall_assessment"),
         F.when(complete, "llm").alias("mode"),
         F.when(json.isNull(), "not JSON").when(~complete, "missing required fields").alias("error"),
     )
@@ -172,13 +187,30 @@ def learning_response(responses: DataFrame, case: str = "case_id") -> DataFrame:
     """Learning of an answer holding all five required keys; others are marked invalid."""
     json = F.col("json")
     complete = F.coalesce(J.has_keys(json, fv.REQUIRED_LEARNING_KEYS), F.lit(False))
+    taken = F.transform(
+        J.field(json, "$.solution.actions_taken", "array<variant>"),
+        lambda a: F.struct(
+            J.field(a, "$.action", "string").alias("action"),
+            J.field(a, "$.params", "map<string,string>").alias("params"),
+            J.field(a, "$.risk", "string").alias("risk"),
+        ),
+    )
+    fields = {
+        "signature": J.field(json, "$.pattern.fingerprint_signature", "array<string>"),
+        "cause_pattern": J.field(json, "$.pattern.cause_pattern", "string"),
+        "citation": J.field(json, "$.citation", "string"),
+        "confidence": J.number(json, "$.learning.confidence"),
+        "context": J.field(json, "$.pattern.context", "string"),
+        "actions_taken": taken,
+        "outcome": J.field(json, "$.solution.outcome", "string"),
+        "success_factors": J.field(json, "$.solution.success_factors", "array<string>"),
+        "what_worked": J.field(json, "$.learning.what_worked", "string"),
+        "what_failed": J.field(json, "$.learning.what_failed", "string"),
+        "applicability": J.field(json, "$.learning.applicability", "string"),
+        "similarity_keys": J.field(json, "$.similarity_keys", "array<string>"),
+    }
     return parsed(responses).select(
-        case,
-        complete.alias("valid"),
-        F.when(complete, J.field(json, "$.pattern.fingerprint_signature", "array<string>")).alias("signature"),
-        F.when(complete, J.field(json, "$.pattern.cause_pattern", "string")).alias("cause_pattern"),
-        F.when(complete, J.field(json, "$.citation", "string")).alias("citation"),
-        F.when(complete, J.number(json, "$.learning.confidence")).alias("confidence"),
+        case, complete.alias("valid"), *[F.when(complete, value).alias(name) for name, value in fields.items()]
     )
 
 

@@ -197,8 +197,10 @@ _DIAG = (
     f"IS NOT NULL) AS valid, CASE WHEN {_get('$.primary_cause')} IN ({_CAUSES}) THEN {_get('$.primary_cause')} "
     f"ELSE 'inconclusive' END AS primary_cause, CASE WHEN {_type('$.confidence')} = 'absent' THEN 5e-1 "
     f"ELSE try_cast({_get('$.confidence')} AS double) END AS confidence, "
-    "coalesce(array_to_string(from_json(json_extract(j, '$.evidence'), '[\"VARCHAR\"]'), '|'), '') AS evidence, "
-    "coalesce(json_array_length(j, '$.secondary'), 0)::int AS n_secondary FROM ans"
+    f"CASE {_type('$.evidence')} WHEN 'absent' THEN '' WHEN 'NULL' THEN NULL "
+    "ELSE array_to_string(from_json(json_extract(j, '$.evidence'), '[\"VARCHAR\"]'), '|') END AS evidence, "
+    f"CASE {_type('$.secondary')} WHEN 'NULL' THEN -1 ELSE coalesce(json_array_length(j, '$.secondary'), 0) END::int "
+    "AS n_secondary FROM ans"
 )
 
 

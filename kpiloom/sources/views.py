@@ -102,7 +102,10 @@ VERDICTS = _answers("verifier", [
     _fenced(_text('{"closed": true, "checks": []}'), tag=""),
     _text("I cannot tell"),
     _text('{"closed": true}'),
-    _text('{"closed": null, "checks": [{"postcheck": "bler", "ok": false}], "residual_risk": "low"}'),
+    _text('{"closed": null, "checks": [{"postcheck": "bler", "ok": false}, '
+          '{"postcheck": "cqi", "ok": true, "evidence": "9 to 11"}], "residual_risk": "low", '
+          '"kpi_improvements": {"bler_dl": {"before": 0.25, "after": 0.5, "change_pct": 100, "improved": false}, '
+          '"cqi_dl": {"before": "9", "after": null, "improved": true}}, "overall_assessment": "not better"}'),
 ])
 
 QUALITY_ANSWERS = _answers("quality", [
@@ -140,6 +143,7 @@ DIAGNOSIS_ANSWERS = _answers("rca", [
     _text('{"primary_cause": "high_load", "confidence": null}'),
     _text('{"primary_cause": "high_load"}'),
     _text("unsure"),
+    _text('{"primary_cause": "power_anomaly", "confidence": 0.4, "evidence": null, "secondary": null}'),
 ])
 
 PLAN_ANSWERS = _answers("planner", [
@@ -160,16 +164,21 @@ PLAN_ANSWERS = _answers("planner", [
 
 EXECUTION_ANSWERS = _answers("executor", [
     _fenced(_text('{"executed": [{"id": "check_backhaul", "status": "applied", "params": {"cell": "CELL_1"}, '
-                  '"method": "ticket", "reason": "ok"}], "status": "partial", "mode": "production"}')),
-    _text('{"executed": [], "status": "failed"}'),
+                  '"method": "ticket", "reason": "ok"}, {"id": "limit_tx_power", "status": "refused"}], "status": "partial", '
+                  '"mode": "production", "safety_checks": {"blast_radius_ok": true, "prechecks_passed": false, '
+                  '"change_window_ok": true}}')),
+    _text('{"executed": [], "status": "failed", "safety_checks": {"blast_radius_ok": false}}'),
     _text("failed"),
     _text("[]"),
 ])
 
 LEARNING_ANSWERS = _answers("curator", [
     _fenced(_text('{"case_id": 1, "pattern": {"fingerprint_signature": ["bler_dl", "cqi_dl"], '
-                  '"cause_pattern": "interference"}, "solution": {}, "learning": {"confidence": 0.8}, '
-                  '"citation": "c1"}')),
+                  '"cause_pattern": "interference", "context": "busy hour"}, "solution": {"actions_taken": [{"action": '
+                  '"tilt_neighbor", "params": {"neighbor": "CELL_2"}, "risk": "low"}, {"action": "check_backhaul"}], '
+                  '"outcome": "success", "success_factors": ["early", "small"]}, "learning": {"confidence": 0.8, '
+                  '"what_worked": "tilt", "what_failed": "none", "applicability": "edge cells"}, '
+                  '"citation": "c1", "similarity_keys": ["bler", "edge"]}')),
     _text('{"case_id": 1, "pattern": {}, "solution": {}, "learning": {}}'),
     _text("no"),
     _text('{"case_id": 2, "pattern": {"cause_pattern": "high_load"}, "solution": {}, "learning": {}, "citation": null}'),
