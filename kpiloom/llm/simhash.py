@@ -10,10 +10,10 @@ every node is replicated to all anchors within that reach (about 61, of which th
 above its own home suffice, as links have two ends), and each anchor compares its
 home nodes with all that came.  Links are found exactly.
 
-Anchors where very many nodes are at home are cut further: the nodes of such an
-anchor meet by all but two of eight bytes of the fingerprint, for every choice of
-the two, which two fingerprints within two bits must share.  Such a meeting place
-holds at most 65,536 different fingerprints.
+Anchors that very many nodes reach, at home there or not, are cut further: the nodes of
+such an anchor meet by all but two of eight bytes of the fingerprint, for every choice of
+the two, which two fingerprints within two bits must share.  So a meeting place holds at
+most ``CROWDED`` nodes, or 65,536 different fingerprints.
 
 A task links the nodes of its anchors and emits a spanning star per linked group, not
 all pairs.  Groups are then joined to components by contraction.
@@ -46,8 +46,8 @@ SEED = 42
 GOLAY = 0b110001110101
 BLOCK = 23
 RADIUS = 3
-#: An anchor with more home nodes than this is cut further.
-CROWDED = 512
+#: An anchor that more nodes than this reach is cut further.
+CROWDED = 4096
 #: Pairs compared in one numpy step.
 PAIRS = 1_000_000
 HASHES = 1 << 16
@@ -80,17 +80,23 @@ def fingerprint(text: str, shingle: int = SHINGLE, seed: int = SEED) -> int:
 def fingerprints(
     docs: DataFrame, shingle: int = SHINGLE, id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """``doc_id, fp`` (the fingerprint as a signed long) of every whole text."""
+    """``doc_id``, ``key`` (a hash of the text) and ``fp`` (the fingerprint as a signed long) of every whole text."""
     ship(docs.sparkSession)
     kind = docs.schema[id].dataType.simpleString()
-    frame = docs.select(quoted(id).alias("doc_id"), text_of(quoted(text)).alias("text"))
+    frame = docs.select(quoted(id).alias("doc_id"), _key(text).alias("key"), text_of(quoted(text)).alias("text"))
 
     def run(batches):
         for batch in batches:
-            found = np.fromiter((fingerprint(x.as_py(), shingle) for x in batch.column(1)), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            found = np.fromiter((fingerprint(x.as_py(), shingle) for x in batch.column(2)), np.uint64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(found.view(np.int64))], ["doc_id", "key", "fp"]
+            )
 
-    return frame.mapInArrow(run, f"doc_id {kind}, fp long")
+    return frame.mapInArrow(run, f"doc_id {kind}, key long, fp long")
+
+
+def _key(text: str) -> Column:
+    return F.xxhash64(text_of(quoted(text)))
 
 
 # --- anchors ------------------------------------------------------------------------
@@ -166,18 +172,6 @@ def reached_anchors(fps: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndar
     return owner[above], anchor[above]
 
 
-def with_home(nodes: DataFrame, distance: int) -> DataFrame:
-    """``fp`` and its ``home`` anchor."""
-
-    def run(batches):
-        code = cosets(distance)
-        for batch in batches:
-            fps = batch.column(0).to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(home_anchors(fps, code))], ["fp", "home"])
-
-    return nodes.select("fp").mapInArrow(run, "fp long, home long")
-
-
 def replicas(nodes: DataFrame, distance: int) -> DataFrame:
     """``anchor, at_home, fp``: every node at its home and at the anchors in reach above it."""
 
@@ -263,22 +257,27 @@ def _bytes_kept() -> list[int]:
 def _meet(rows: DataFrame, distance: int) -> DataFrame:
     """Links among ``key, at_home, fp``, dealt by key and streamed in key order."""
 
+    def linked(part: pa.Table):
+        fps = part.column("fp").to_numpy().view(np.uint64)
+        a, b = link_groups(part.column("key").to_numpy(), part.column("at_home").to_numpy(), fps, distance)
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
     def run(batches):
-        carried = None
-        for batch in itertools.chain(batches, [None]):
-            held = [x for x in (carried, batch) if x is not None]
-            if not held:
-                return
-            table = pa.Table.from_batches(held)
-            key = table.column("key").to_numpy()
-            cut = len(key) if batch is None else int(np.searchsorted(key, key[-1])) if len(key) else 0
+        held: list[pa.RecordBatch] = []  # rows of one key, or of several and the last of them open
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            first, last = batch.column(0)[0].as_py(), batch.column(0)[-1].as_py()
+            if held and first == last == held[-1].column(0)[-1].as_py():
+                held.append(batch)  # still the same key: nothing is copied
+                continue
+            table = pa.Table.from_batches([*held, batch])
+            cut = int(np.searchsorted(table.column("key").to_numpy(), last))
             if cut:
-                part = table.slice(0, cut)
-                fps = part.column("fp").to_numpy().view(np.uint64)
-                a, b = link_groups(key[:cut], part.column("at_home").to_numpy(), fps, distance)
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
-            rest = table.slice(cut).combine_chunks().to_batches()
-            carried = rest[0] if rest else None
+                yield linked(table.slice(0, cut))
+            held = table.slice(cut).combine_chunks().to_batches()
+        if held:
+            yield linked(pa.Table.from_batches(held))
 
     dealt = rows.repartition("key").sortWithinPartitions("key", F.col("at_home").desc(), "fp")
     return dealt.mapInArrow(run, "a long, b long")
@@ -289,12 +288,12 @@ def links(nodes: DataFrame, distance: int = DISTANCE) -> DataFrame:
     if not 0 <= distance <= 2:
         raise ValueError("anchors and their cuts are laid out for a distance of at most 2 bits")
     ship(nodes.sparkSession)
+    rows = replicas(nodes, distance)
     crowds = stage(
-        with_home(nodes, distance).groupBy(F.col("home").alias("anchor")).agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > CROWDED).select("anchor"),
+        rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.max("at_home").alias("home"))
+        .where(F.col("home") & (F.col("n") > CROWDED)).select("anchor"),
         "crowds",
     )
-    rows = replicas(nodes, distance)
     if not crowds.head(1):
         return _meet(rows.select(F.col("anchor").alias("key"), "at_home", "fp"), distance)
     marked = rows.join(broadcast_if_small(crowds.withColumn("crowded", F.lit(True))), "anchor", "left")
@@ -306,18 +305,23 @@ def links(nodes: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return _meet(marked.select(F.explode(places).alias("key"), "at_home", "fp"), distance)
 
 
-def groups(
-    docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, id: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """``doc_id, fp, component_id`` per row; the component is named by the smallest id reachable."""
-    rows = stage(fingerprints(docs, shingle, id, text), "fingerprints")
+def _rooted(rows: DataFrame, distance: int) -> DataFrame:
+    """``fp, least, root`` of every fingerprint of a written table: its least id, and a node that names its component."""
     nodes = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
     roots = components(links(nodes, distance))
-    rooted = stage(
+    return stage(
         nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
         .select("fp", "least", F.coalesce("root", "fp").alias("root")),
         "rooted",
     )
+
+
+def groups(
+    docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """``doc_id, fp, component_id`` per row; the component is named by the smallest id reachable."""
+    rows = stage(fingerprints(docs, shingle, id, text), "fingerprints")
+    rooted = _rooted(rows, distance)
     named = stage(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "named")
     placed = stage(lookup(rooted.select("fp", "root"), named, "root").select("fp", "component_id"), "placed")
     return lookup(rows, placed, "fp").select("doc_id", "fp", "component_id")
@@ -330,8 +334,26 @@ def hex_digits(fp: Column) -> Column:
 def keep_one(
     docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """Rows of ``docs`` whose id is the smallest of its component; rows without any id in reach stay."""
-    placed = stage(groups(docs, shingle, distance, id, text), "groups")
-    kept = max(["kept", *docs.columns], key=len) + "_"  # a name that no column has
-    keepers = placed.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(kept))
-    return docs.join(keepers, quoted(id).eqNullSafe(quoted(kept)), "left_semi")
+    """One row of ``docs`` of each component: that with the smallest id, null last, then the least hash of the text.
+
+    Of rows that agree in id and text, any one stays.
+    """
+    rows = stage(fingerprints(docs, shingle, id, text), "fingerprints")
+    found = lookup(rows, _rooted(rows, distance).select("fp", "root"), "fp", "inner")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "key")).alias("least")
+    # nulls inside a struct are equal, so a null id finds its row
+    keepers = stage(
+        found.groupBy("root").agg(least).select(F.struct("least.doc_id", "least.key").alias("keeper")), "keepers"
+    )
+    own, mark = (max([name, *docs.columns], key=len) + end for name, end in (("keeper", "_"), ("mark", "__")))
+    placed = docs.withColumn(own, F.struct(quoted(id).alias("doc_id"), _key(text).alias("key")))
+    kept = placed.join(keepers.withColumnRenamed("keeper", mark), F.col(f"`{own}`") == F.col(f"`{mark}`"), "left_semi")
+    twice = stage(
+        rows.groupBy(F.struct("doc_id", "key").alias(mark)).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(mark),
+        "repeated-rows",
+    )
+    if twice.head(1):  # only these rows are looked at again
+        same = F.col(f"`{own}`") == F.col(f"`{mark}`")
+        once = kept.join(twice, same, "left_anti")
+        kept = once.unionByName(kept.join(twice, same, "left_semi").dropDuplicates([own]))
+    return kept.drop(own)

@@ -3,6 +3,7 @@ import random
 import brutes
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from kpiloom.llm import simhash
 from kpiloom.llm.components import components
@@ -62,6 +63,54 @@ def test_groups_against_brute_force(spark, monkeypatch, crowded):
     assert len(set(named)) == len(set(want))
 
 
+def test_a_crowd_beside_other_anchors(spark, monkeypatch):
+    """Fingerprints that agree in bits 0 to 45 reach the same few anchors: no meeting place holds more than its bound."""
+    rng = random.Random(7)
+    base, n = rng.getrandbits(46), 20_000
+    fps = {base | rng.getrandbits(18) << 46 for _ in range(n)} | {flipped(base, [k]) | 5 << 50 for k in (3, 9)}
+    signed = [x - (1 << 64) if x >> 63 else x for x in sorted(fps)]
+    nodes = spark.createDataFrame([(x,) for x in signed], "fp long").repartition(4)
+    sizes, meet = [], simhash._meet
+
+    def watched(rows, distance):
+        sizes.append(rows.groupBy("key").agg(F.count_if("at_home").alias("home"), F.count("*").alias("n"))
+                     .where("home > 0").agg(F.max("n")).first()[0])
+        return meet(rows, distance)
+
+    monkeypatch.setattr(simhash, "_meet", watched)
+    roots = {r["node"]: r["root"] for r in components(simhash.links(nodes)).collect()}
+    assert sizes[0] <= 65_536 and sizes[0] < len(signed)
+    # by brute force: neighbours by flipping one or two of the bits that differ
+    flips = [1 << b for b in (3, 9, *range(46, 64))]
+    flips += [a | b for a in flips for b in flips if a < b]
+    known, seen, want = set(fps), set(), 0
+    for start in fps:
+        if start in seen:
+            continue
+        want += 1
+        todo, group = [start], {start}
+        while todo:
+            x = todo.pop()
+            for f in flips:
+                if x ^ f in known and x ^ f not in group:
+                    group.add(x ^ f)
+                    todo.append(x ^ f)
+        seen |= group
+        assert len({roots.get(x - (1 << 64) if x >> 63 else x, x) for x in group}) == 1
+    assert len({roots.get(x, x) for x in signed}) == want
+
+
+def test_one_row_of_each_component_stays(spark, docs_of):
+    a, b = "one text of some words here", "quite another text with other words in it"
+    kept = lambda rows: sorted(
+        ((r["doc_id"], r["text"]) for r in simhash.keep_one(docs_of(rows)).collect()), key=repr)
+    assert kept([(1, a), (2, a), (2, b)]) == [(1, a), (2, b)]
+    assert kept([(1, a), (1, a), (1, a)]) == [(1, a)]
+    assert kept([(None, a), (None, a), (None, b)]) == sorted([(None, a), (None, b)])
+    assert kept([(None, a), (7, a), (9, b), (9, b), (None, b)]) == [(7, a), (9, b)]
+    assert kept([(3, None), (3, ""), (4, None)]) in ([(3, None)], [(3, "")])
+
+
 def test_query_rows_against_brute_force(spark, docs_of):
     rng = random.Random(3)
     vocabulary = [f"w{i}" for i in range(400)]
