@@ -21,12 +21,13 @@ f AS (
     length(x) - length(translate(x, '!', '')) AS n_calls,
     length(regexp_replace(x, '\P{Lu}+', '', 'g')) AS n_capitals,
     len(string_split(x, chr(10))) AS n_lines,
+    length(regexp_replace(x, '[^\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\p{Tibetan}]+', '', 'g')) AS n_solid,
     len(list_filter(range(2, len(ws) + 1), lambda i: ws[i] = ws[i - 1])) AS n_stutters
   FROM w JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)),
 b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM f)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT (base_failed OR 10 * n_symbols > 3 * n_words OR 10 * n_calls > 5 * n_words
-    OR 10 * n_capitals > 6 * word_chars OR word_chars > 25 * n_words
+    OR 10 * n_capitals > 6 * word_chars OR (word_chars > 25 * n_words AND 2 * n_solid <= word_chars)
     OR 10 * n_dup_lines > 5 * n_lines OR 100 * n_stutters > 20 * n_words) AS kept
 FROM b
 """

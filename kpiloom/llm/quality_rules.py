@@ -1,11 +1,11 @@
 """Quality rules as a short-circuit cascade, in DataFrame functions only.
 
-Each rule is a predicate over a few features of the whole text.  A bounded sample
-tells how much work a rule does on a row (characters or words it walks, by the
-features it is the first to need) and how often it rejects.  Rules then run in
-falling order of rejections per unit of work, and a feature is computed only for
-rows that no earlier rule has rejected.  The order changes the work and the named
-reason, never the verdict: a row is kept if no rule rejects it.
+Each rule is a predicate over a few features of the whole text.  On a bounded sample of
+all partitions every feature is timed and every rule's rejections are counted.  Rules
+then run in falling order of rejections per second of the features that they are the first
+to need, and a feature is computed only for rows that no earlier rule has rejected.  The
+order, and so the named reason, may differ from run to run as clocks do; the verdict
+never does: a row is kept if no rule rejects it.
 
 Defined results: null text counts as empty (no words, rejected as ``few_words``);
 repeated rows and ties are judged row by row; an empty table gives an empty table;
@@ -14,20 +14,23 @@ extra columns are handed on untouched, whatever they are called.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kpiloom.llm.common import SPACES, packed, quoted, text_of, words_of
+from kpiloom.session import stage
 
 #: Words in a window for ``n_repeat_words``.
 WINDOW = 5
 SYMBOLS = "#*$%&|<>"
-#: Rows that at most enter the sample by which rules are ordered.
-SAMPLE_ROWS = 2000
-#: One row in so many is a candidate for the sample.
-SAMPLE_EVERY = 8
+#: Rows of the sample by which rules are ordered, in expectation, and how often a feature is timed on it.
+SAMPLE_ROWS = 1000
+TIMINGS = 2
+#: Letters of scripts that write words without blanks.
+SOLID = r"[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}]+"
 
 
 def _window_hashes(words: Column) -> Column:
@@ -78,37 +81,34 @@ def _count_of(text: Column, marks: str) -> Column:
 
 @dataclass(frozen=True)
 class Feature:
-    """``make`` builds the value from the features it ``needs``; ``work`` prices one row in steps."""
+    """``make`` builds the value from the features it ``needs``."""
 
     needs: tuple[str, ...]
     make: object
-    work: object
-
-
-def _chars(weight: float):
-    return lambda c: F.length(c["text"]) * weight
-
-
-def _words(weight: float):
-    return lambda c: F.length(c["text"]) / 5.5 * weight
 
 
 #: Names start with an underscore inside the job, so that they are told from results.
 FEATURES: dict[str, Feature] = {
-    "words": Feature(("text",), lambda c: words_of(c["text"]), _chars(4)),
-    "n_words": Feature(("words",), lambda c: F.size(c["words"]), lambda c: F.lit(1.0)),
-    "word_chars": Feature(("text",), lambda c: F.length(F.translate(c["text"], SPACES, "")), _chars(2)),
-    "n_symbols": Feature(("text",), lambda c: _count_of(c["text"], SYMBOLS), _chars(2)),
-    "n_calls": Feature(("text",), lambda c: _count_of(c["text"], "!"), _chars(2)),
-    "n_capitals": Feature(("text",), lambda c: F.length(F.regexp_replace(c["text"], r"\P{Lu}+", "")), _chars(6)),
-    "n_lines": Feature(("text",), lambda c: F.size(F.split(c["text"], "\n")), _chars(1)),
-    "n_dup_lines": Feature(("text",), lambda c: _repeated_lines(c["text"]), _chars(4)),
-    "n_stutters": Feature(("words",), lambda c: _stutters(c["words"]), _words(8)),
-    "hashes": Feature(("words",), lambda c: _window_hashes(c["words"]), _words(30)),
-    "n_repeat_words": Feature(("hashes",), lambda c: _covered_words(c["hashes"]), _words(15)),
+    "words": Feature(("text",), lambda c: words_of(c["text"])),
+    "n_words": Feature(("words",), lambda c: F.size(c["words"])),
+    "word_chars": Feature(("text",), lambda c: F.length(F.translate(c["text"], SPACES, ""))),
+    "n_symbols": Feature(("text",), lambda c: _count_of(c["text"], SYMBOLS)),
+    "n_calls": Feature(("text",), lambda c: _count_of(c["text"], "!")),
+    "n_capitals": Feature(("text",), lambda c: F.length(F.regexp_replace(c["text"], r"\P{Lu}+", ""))),
+    "n_lines": Feature(("text",), lambda c: F.size(F.split(c["text"], "\n"))),
+    "n_dup_lines": Feature(("text",), lambda c: _repeated_lines(c["text"])),
+    "n_stutters": Feature(("words",), lambda c: _stutters(c["words"])),
+    "hashes": Feature(("words",), lambda c: _window_hashes(c["words"])),
+    "n_repeat_words": Feature(("hashes",), lambda c: _covered_words(c["hashes"])),
 }
 
 
+def _long_words(c: dict[str, Column]) -> Column:
+    """Over 25 characters a word, unless most of them are letters of a script without blanks (looked at only then)."""
+    solid = F.length(F.regexp_replace(c["text"], SOLID, ""))
+    return (c["word_chars"] > 25 * c["n_words"]) & (2 * solid <= c["word_chars"])
+
+
 @dataclass(frozen=True)
 class Rule:
     name: str
@@ -123,7 +123,7 @@ RULES: tuple[Rule, ...] = (
     Rule("symbols", ("n_symbols", "n_words"), lambda c: 10 * c["n_symbols"] > 3 * c["n_words"]),
     Rule("shouting", ("n_calls", "n_words"), lambda c: 10 * c["n_calls"] > 5 * c["n_words"]),
     Rule("capitals", ("n_capitals", "word_chars"), lambda c: 10 * c["n_capitals"] > 6 * c["word_chars"]),
-    Rule("long_words", ("word_chars", "n_words"), lambda c: c["word_chars"] > 25 * c["n_words"]),
+    Rule("long_words", ("word_chars", "n_words"), _long_words),
     Rule("repeated_lines", ("n_dup_lines", "n_lines"), lambda c: 10 * c["n_dup_lines"] > 5 * c["n_lines"]),
     Rule("stutter", ("n_stutters", "n_words"), lambda c: 100 * c["n_stutters"] > 20 * c["n_words"]),
 )
@@ -151,31 +151,53 @@ def with_features(df: DataFrame, names: list[str]) -> DataFrame:
     return df
 
 
-def rule_order(docs: DataFrame, id: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = RULES) -> list[Rule]:
-    """Rules by rejections per unit of work on a sample of at most ``SAMPLE_ROWS`` rows.
+def _seconds(sample: DataFrame, names: list[str]) -> float:
+    """Time of a job that makes the named features of the sample, the last of them once per row at least."""
+    made = with_features(sample, names).select(F.xxhash64(*[f"_{x}" for x in names[-1:]], F.length("_text")).alias("h"))
+    best = float("inf")
+    for _ in range(TIMINGS):
+        started = time.perf_counter()
+        made.agg(F.bit_xor("h")).collect()
+        best = min(best, time.perf_counter() - started)
+    return best
 
-    Work of a rule: the mean over the sample of the steps that its features take; a
-    feature already paid for by an earlier rule is free.  Partitions are read one after
-    another until the sample is full, and only figures come back, no texts.
+
+def feature_seconds(sample: DataFrame, names: list[str]) -> dict[str, float]:
+    """Measured seconds that each feature (listed after what it needs) adds to those it needs, on a written sample."""
+    base = _seconds(sample, [])
+    whole = {x: _seconds(sample, _closure((x,))) for x in names}
+    own = {}
+    for x in names:
+        needed = max((whole[n] for n in FEATURES[x].needs if n in whole), default=base)
+        own[x] = max(whole[x] - needed, 1e-6)
+    return own
+
+
+def rule_order(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = RULES, paid: tuple[str, ...] = ()
+) -> list[Rule]:
+    """Rules by rejections per second on a sample of about ``SAMPLE_ROWS`` rows from all partitions.
+
+    A feature that an earlier rule needs, or that is ``paid`` for anyhow, costs nothing.
+    Only figures come back from the sample, no texts.
     """
-    sample = (
-        packed(docs, _id=id, _text=text)
-        .select(text_of(F.col("_text")).alias("_text"), F.xxhash64("_id").alias("_pick"))
-        .where(F.pmod("_pick", F.lit(SAMPLE_EVERY)) == 0)
-    )
+    frame = packed(docs, _id=id, _text=text)
+    share = min(1.0, SAMPLE_ROWS / max(1, docs.count()))
+    drawn = F.pmod(F.xxhash64(F.lit("rules"), "_id", F.xxhash64("_text")), F.lit(1 << 30)) < int(share * (1 << 30))
+    sample = stage(frame.where(drawn).select(text_of(F.col("_text")).alias("_text")), "rules-sample")
     needed = list(dict.fromkeys(x for r in rules for x in _closure(r.needs)))
-    frame = with_features(sample, needed)
-    cols = _columns(frame)
-    rows = frame.select(
-        *[r.rejects(cols).cast("double").alias(f"r_{r.name}") for r in rules],
-        *[FEATURES[x].work(cols).cast("double").alias(f"w_{x}") for x in needed],
-    ).limit(SAMPLE_ROWS).collect()
-    figures = {c: sum(r[c] or 0.0 for r in rows) / len(rows) for c in (rows[0].asDict() if rows else ())}
-    rest, done, order = list(rules), set(), []
+    made = with_features(sample, needed)
+    cols = _columns(made)
+    counted = made.agg(
+        F.count(F.lit(1)).alias("n"), *[F.count_if(F.coalesce(r.rejects(cols), F.lit(False))).alias(r.name) for r in rules]
+    ).first()
+    if not counted["n"]:
+        return list(rules)
+    seconds = feature_seconds(sample, needed)
+    rest, done, order = list(rules), set(paid), []
     while rest:
         def gain(rule: Rule) -> float:
-            work = 1.0 + sum(figures.get(f"w_{x}", 0.0) for x in _closure(rule.needs) if x not in done)
-            return figures.get(f"r_{rule.name}", 0.0) / work
+            return counted[rule.name] / (1e-6 + sum(seconds[x] for x in _closure(rule.needs) if x not in done))
 
         best = max(rest, key=gain)  # ties: the order of RULES
         order.append(best)
@@ -219,11 +241,12 @@ def judge(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     frame = packed(docs, _id=id, _text=text).select("_id", text_of(F.col("_text")).alias("_text"))
-    frame = with_features(frame, list(dict.fromkeys(x for c in counts for x in _closure((c,)))))
+    paid = tuple(dict.fromkeys(x for c in counts for x in _closure((c,))))
+    frame = with_features(frame, list(paid))
     base = [r for r in RULES if r.name in BASE_RULES]
     cols = _columns(frame)
     frame = frame.withColumn("_base_failed", base[0].rejects(cols) | base[1].rejects(cols))
-    frame = frame.withColumn("_verdict", verdict(rule_order(docs, id, text), cols))
+    frame = frame.withColumn("_verdict", verdict(rule_order(docs, id, text, paid=paid), cols))
     return frame.select(
         F.col("_id").alias("doc_id"),
         *[F.col(f"_{c}").cast("long").alias(c) for c in counts],

@@ -25,8 +25,9 @@ def quality(text):
     base = n < 10 or 100 * len(covered) > 20 * n
     capitals = len(re.findall("[A-ZÀ-ÖØ-Þ]", text))
     stutters = sum(a == b for a, b in zip(ws, ws[1:]))
+    solid = sum("\u4e00" <= c <= "\u9fff" or "\u3041" <= c <= "\u30ff" or "\u0e01" <= c <= "\u0e5b" for c in text)
     bad = (
-        10 * symbols > 3 * n or 10 * text.count("!") > 5 * n or 10 * capitals > 6 * chars or chars > 25 * n
+        10 * symbols > 3 * n or 10 * text.count("!") > 5 * n or 10 * capitals > 6 * chars or (chars > 25 * n and 2 * solid <= chars)
         or 10 * dup_lines > 5 * len(text.split("\n")) or 100 * stutters > 20 * n
     )
     return n, chars, symbols, dup_lines, len(covered), base, not (base or bad)
