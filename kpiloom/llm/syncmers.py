@@ -9,13 +9,16 @@ one before.  Two fingerprints are compared by position: equal hashes are paired
 order of occurrence, the longest chain of pairs that rises in both texts counts, and
 likeness is twice its length over the number of syncmers of both.
 
+Texts under ``SHORT`` characters have windows of two characters, so that one that keeps
+most of them is still like itself; marks of short and long texts do not compare.
+
 Because syncmers need no context, the fingerprint of a text whose tail is replaced is
 put together from the syncmers that lie wholly in what stayed and those of the seam
 and the new tail.
 
 Defined results: null text counts as empty; the empty text has the empty fingerprint,
-like another empty text and unlike any other; a text without syncmers (shorter than a
-window, or a few windows) has one mark for the whole text; rows of one id follow each
+like another empty text and unlike any other; a text without syncmers (one character)
+has one mark for the whole text; rows of one id follow each
 other by a hash of their text, equal rows in the order they are read; null ids come
 first; an empty table gives an empty table; other columns are not read.
 """
@@ -39,10 +42,14 @@ from kpiloom.session import stage
 
 K = 32
 S = 8
+#: Below this length a text has windows of ``SHORT_K`` characters with inner ones of ``SHORT_S``.
+SHORT = 64
+SHORT_K, SHORT_S = 2, 1
 #: Windows handled in one numpy step.
 STEP = 1 << 20
-#: Buckets of neighbouring documents per shuffle partition.
-BUCKETS = 4
+#: Characters of text in a bucket of neighbouring documents, and buckets at most (their first keys go to the driver).
+BUCKET_CHARS = 8_000_000
+MOST_BUCKETS = 20_000
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
 
@@ -103,11 +110,15 @@ def _whole(text: str, marks: Marks) -> Marks:
 
 
 def marks_of(text: str, k: int = K, s: int = S) -> Marks:
+    if len(text) < SHORT:
+        k, s = SHORT_K, SHORT_S
     return _whole(text, syncmers(code_points(text), k, s))
 
 
 def marks_of_edited(text: str, marks: Marks, kept: int, tail: str, k: int = K, s: int = S) -> Marks:
     """Marks of ``text[:kept] + tail`` from those of ``text``: only the seam and the tail are read."""
+    if kept + len(tail) < SHORT:
+        return marks_of(text[:kept] + tail, k, s)
     at, mark = marks if len(text) >= k else (np.zeros(0, np.int64), np.zeros(0, np.int64))
     if len(at) == 1 and at[0] == 0 and not len(syncmers(code_points(text), k, s)[0]):
         at, mark = at[:0], mark[:0]  # the mark of a whole text is no syncmer
@@ -227,10 +238,12 @@ def with_next(docs: DataFrame, id: str = "doc_id", text: str = "text") -> tuple[
     frame = docs.select(quoted(id).alias("_id"), text_of(quoted(text)).alias("_text")).withColumn(
         "_turn", F.monotonically_increasing_id()
     ).withColumn("_key", key)
-    keys = ranked(stage(frame.select("_key"), "keys"), ["_key"])
+    known = stage(frame.select("_key", F.length("_text").alias("chars")), "keys")
+    chars = known.agg(F.sum("chars")).first()[0] or 0
+    keys = ranked(known.select("_key"), ["_key"])
     total = keys.count()
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    size = max(1, -(-total // (BUCKETS * partitions)))
+    buckets = min(MOST_BUCKETS, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-chars // BUCKET_CHARS)))
+    size = max(1, -(-total // buckets))
     firsts = keys.where(F.col("_rank") % size == 0).select(F.to_json("_key").alias("k"), "_rank").collect()
     texts = [r["k"] for r in sorted(firsts, key=lambda r: r["_rank"])]
     n = max(1, len(texts))
@@ -244,7 +257,7 @@ def with_next(docs: DataFrame, id: str = "doc_id", text: str = "text") -> tuple[
         F.col("_place.bucket").alias("bucket"), F.col("_place.guest").alias("guest"), "_key",
         F.col("_id").alias("id"), F.col("_text").alias("text"),
     )
-    dealt = rows.repartition(partitions, "bucket").sortWithinPartitions("bucket", "guest", "_key")
+    dealt = rows.repartition(buckets, "bucket").sortWithinPartitions("bucket", "guest", "_key")
     return dealt.select("bucket", "guest", "id", "text"), total
 
 

@@ -27,6 +27,45 @@ def test_definition(k, s):
     assert mark.tolist() == [m[0] for m in whole.values() if m]
 
 
+def plain_hash(window):
+    """Hash of a substring whose length is a power of two, in whole numbers."""
+    m, full = [0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], (1 << 64) - 1
+
+    def raw(x):
+        if len(x) == 1:
+            return ord(x) * m[0] & full
+        half = len(x) // 2
+        return (raw(x[:half]) * (m[1] + len(x)) + raw(x[half:])) & full
+
+    h = raw(window)
+    h = (h ^ h >> 30) * m[1] & full
+    h = (h ^ h >> 27) * m[2] & full
+    return h ^ h >> 31
+
+
+@pytest.mark.parametrize("k, s", [(32, 8), (16, 4), (13, 4), (2, 1)])
+def test_least_inner_substring_lies_at_an_edge(k, s):
+    """The definition, window by window, from hashes recomputed without the module."""
+    text = prose(random.Random(k + 50), 120) + "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa"
+    want = []
+    for i in range(len(text) - k + 1):
+        inner = [plain_hash(text[i + j : i + j + s]) for j in range(k - s + 1)]
+        if min(inner) in (inner[0], inner[-1]):
+            want.append(i)
+    assert syncmers.syncmers(syncmers.code_points(text), k, s)[0].tolist() == want and len(want) > 20
+
+
+@pytest.mark.parametrize("n", [4, 8, 20, 40, 63, 64, 100, 400])
+def test_texts_of_any_length_that_keep_three_quarters_are_alike(n):
+    rng, near = random.Random(n), []
+    for _ in range(40):
+        text, other = prose(rng, n)[:n], prose(rng, n)[:n]
+        kept = n - n // 4
+        edited = syncmers.marks_of_edited(text, syncmers.marks_of(text), kept, other[: n // 4])
+        near.append(syncmers.likeness(syncmers.marks_of(text), edited))
+    assert np.mean(near) > 0.5 and (n > 100 or n >= 64 or min(near) > 0.3)
+
+
 def test_stretches_and_packing(monkeypatch):
     text = prose(random.Random(1), 500)
     want = syncmers.marks_of(text)
