@@ -209,8 +209,10 @@ def learning_response(responses: DataFrame, case: str = "case_id") -> DataFrame:
         "applicability": J.field(json, "$.learning.applicability", "string"),
         "similarity_keys": J.field(json, "$.similarity_keys", "array<string>"),
     }
-    return parsed(responses).select(
-        case, complete.alias("valid"), *[F.when(complete, value).alias(name) for name, value in fields.items()]
+    # the check is made once per answer, not once per field
+    checked = parsed(responses).withColumn("_complete", complete)
+    return checked.select(
+        case, F.col("_complete").alias("valid"), *[F.when(F.col("_complete"), value).alias(name) for name, value in fields.items()]
     )
 
 

@@ -10,9 +10,9 @@ from kpiloom.session import stage
 from kpiloom.sources import sinks
 
 
-def remember(cases: DataFrame, history_path: str, order: list[str]) -> None:
-    """Append to the history table with running ids."""
-    sinks.record_cases(cases, history_path, order)
+def remember(cases: DataFrame, history_path: str, order: list[str], run: str | None = None) -> bool:
+    """Append to the history table with running ids, once per run key; False if the run is there already."""
+    return sinks.record_cases(cases, history_path, order, run=run)
 
 
 def learnings_from(answers: DataFrame, case: str = "case_id") -> DataFrame:
@@ -25,6 +25,7 @@ def learnings_from(answers: DataFrame, case: str = "case_id") -> DataFrame:
 
 def recall(cases: DataFrame, learnings: DataFrame, k: int = 3) -> tuple[DataFrame, DataFrame]:
     """Similar learnings and recommendations for cases with ``fingerprint`` and ``rca``."""
+    learnings = stage(learnings, "learnings")  # read by both
     signals = cases.select(
         "case_id",
         F.transform("fingerprint", lambda s: s["metric"]).alias("signals"),
