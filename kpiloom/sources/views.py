@@ -141,9 +141,8 @@ DIAGNOSIS_ANSWERS = _answers("rca", [
     _text('{"primary_cause": "aliens", "confidence": 1.7}'),
     _text('{"confidence": "0.65", "evidence": ["x"]}'),
     _text('{"primary_cause": "high_load", "confidence": null}'),
-    _text('{"primary_cause": "high_load"}'),
+    _text('{"primary_cause": "high_load", "evidence": null, "secondary": null}'),
     _text("unsure"),
-    _text('{"primary_cause": "power_anomaly", "confidence": 0.4, "evidence": null, "secondary": null}'),
 ])
 
 PLAN_ANSWERS = _answers("planner", [
