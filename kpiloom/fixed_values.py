@@ -72,6 +72,16 @@ CAUSE_CONFIDENCE = {
     "inconclusive": 0.5,
 }
 
+# Evidence of a cause, in order: a label that its deviation follows, or a plain sentence.
+EVIDENCE = {
+    "interference": [("BLER up", "bler_dl"), ("CQI down", "cqi_dl"), ("PRB not high", None)],
+    "high_load": [("DL PRB up", "prb_dl"), ("Throughput down", "thp_dl")],
+    "connection_failure": [("RRC success rate down", "rrc_rate")],
+    "power_anomaly": [("Energy efficiency down", "energy_eff")],
+    "low_throughput": [("Throughput down", "thp_dl"), ("Load not high", None)],
+}
+EVIDENCE_DRIVERS = "SHAP top drivers: "
+
 # action id, parameter names, reversible, risk, description
 ACTIONS = [
     ("scheduler_protection", ["cell", "on"], True, "low",

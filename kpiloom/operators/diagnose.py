@@ -48,25 +48,19 @@ def evidence(cause: Column | str, delta: dict[str, Column], signals: Column | st
     """Evidence lines of a cause, plus the leading attributions when there are any."""
     c = E.col(cause)
 
-    def line(label: str, metric: str) -> Column:
+    def line(label: str, metric: str | None) -> Column:
+        if metric is None:
+            return F.lit(label)
         return F.concat(F.lit(label + " "), E.one_decimal(delta[metric]), F.lit("%"))
 
-    lines = (
-        F.when(
-            c == "interference",
-            F.array(line("BLER up", "bler_dl"), line("CQI down", "cqi_dl"), F.lit("PRB not high")),
-        )
-        .when(c == "high_load", F.array(line("DL PRB up", "prb_dl"), line("Throughput down", "thp_dl")))
-        .when(c == "connection_failure", F.array(line("RRC success rate down", "rrc_rate")))
-        .when(c == "power_anomaly", F.array(line("Energy efficiency down", "energy_eff")))
-        .when(c == "low_throughput", F.array(line("Throughput down", "thp_dl"), F.lit("Load not high")))
-        .otherwise(E.lit_array([]))
-    )
+    lines = E.lit_array([])
+    for name, parts in fv.EVIDENCE.items():
+        lines = F.when(c == name, F.array(*[line(*p) for p in parts])).otherwise(lines)
     if signals is None:
         return lines
     drivers = F.filter(E.col(signals), lambda s: s["type"].eqNullSafe("shap"))
     names = F.array_join(F.transform(F.slice(drivers, 1, 3), lambda s: s["metric"]), ", ")
-    leading = F.when(F.size(drivers) > 0, F.array(F.concat(F.lit("SHAP top drivers: "), names)))
+    leading = F.when(F.size(drivers) > 0, F.array(F.concat(F.lit(fv.EVIDENCE_DRIVERS), names)))
     return F.concat(lines, F.coalesce(leading, E.lit_array([])))
 
 

@@ -68,18 +68,33 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(table: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Hint a broadcast only after counting the rows of a *staged* table.
+def table_bytes(table: DataFrame, limit_bytes: int) -> int:
+    """Bytes that the rows of a *staged* table take; counted no further than it takes to pass the limit.
 
-    The count is a Parquet metadata read.  Above the limit the table is returned
-    without a hint: the join shuffles, and adaptive execution splits hot keys.
+    The number of rows is a Parquet metadata read.  Only where texts and nested columns
+    could make the difference are they measured, in one pass over those columns.
     """
-    row_bytes = 0
+    fixed, loose = 0, []
     for field in table.schema.fields:
-        row_bytes += 256 if field.dataType.typeName() in ("array", "map", "struct") else 32
-    if table.count() * row_bytes <= limit_bytes:
-        return F.broadcast(table)
-    return table
+        fixed += 16
+        if field.dataType.typeName() in ("string", "binary"):
+            loose.append(F.octet_length(F.col(field.name)))
+        elif field.dataType.typeName() in ("array", "map", "struct", "variant"):
+            loose.append(F.octet_length(F.to_json(F.struct(F.col(field.name)))) * 2)
+    size = table.count() * fixed
+    if loose and size <= limit_bytes:
+        total = table.agg(F.sum(sum((F.coalesce(x, F.lit(0)) for x in loose), F.lit(0)).cast("bigint"))).first()[0]
+        size += total or 0
+    return size
+
+
+def broadcast_if_small(table: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+    """Hint a broadcast only after measuring a *staged* table.
+
+    Above the limit the table is returned without a hint: the join shuffles, and
+    adaptive execution splits hot keys.
+    """
+    return F.broadcast(table) if table_bytes(table, limit_bytes) <= limit_bytes else table
 
 
 def spread(scan: DataFrame) -> DataFrame:
