@@ -51,11 +51,14 @@ LEAST_RUN = 12
 #: Scripts whose words have no blanks between them.
 _SOLID = r"\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\p{Tibetan}ー々〆"
 _SYMBOL = r"[^\P{S}\x00-\x7f]"
-_CUT = regex.compile(r"[.!?,;:]+[\"')\]]*\s+|\s+(?=\p{Lu})")
+#: A run of marks or of blanks is tried from its beginning only, and whole: a run of a million takes one walk.
+_MARKS = r"(?<![.!?,;:])[.!?,;:]++[\"')\]]*+\s++"
+_BLANKS = r"(?<![^\S\n])\s++"
+_CUT = regex.compile(rf"{_MARKS}|{_BLANKS}(?=\p{{Lu}})")
 _CUT_WIDE = regex.compile(
-    rf"[.!?,;:]+[\"')\]]*\s+|\s+(?=\p{{Lu}})|[。．！？，、；：｡､…།]+[」』”’）】》〉\"')\]]*\s*|(?<=[{_SOLID}])\s+"
+    rf"{_MARKS}|{_BLANKS}(?=\p{{Lu}})|[。．！？，、；：｡､…།]+[」』”’）】》〉\"')\]]*\s*|(?<=[{_SOLID}])\s+"
 )
-_LINE = regex.compile(r"[^\n]*\n+|[^\n]+")
+_LINE = regex.compile(r"([^\n]*+)\n*+(?<=.)", regex.DOTALL)
 _WORD = regex.compile(r"\w+")
 _WORD_WIDE = regex.compile(rf"[{_SOLID}]{{1,2}}|[^\W{_SOLID}]+|{_SYMBOL}+")
 #: What only the wide patterns tell apart; elsewhere both give the same.
@@ -63,7 +66,7 @@ _WIDE = regex.compile(rf"[{_SOLID}。．！？，、；：｡､…།]|{_SYMBOL
 #: Anything but ASCII and the Latin letters up to U+02AF; without any, the faster engine's patterns mean the same.
 _OTHER = re.compile("[\x1c-\x1f\x85\xa0-\xbf\xd7\xf7\u02b0-\U0010ffff]")
 _CAPITALS = "".join(c for c in map(chr, range(0x2B0)) if unicodedata.category(c) == "Lu")
-_CUT_LATIN = re.compile(rf"[.!?,;:]+[\"')\]]*\s+|\s+(?=[{_CAPITALS}])")
+_CUT_LATIN = re.compile(rf"{_MARKS}|{_BLANKS}(?=[{_CAPITALS}])")
 _WORD_LATIN = re.compile(r"\w+")
 CLAUSE, LINE, END = 0, 1, 2
 #: Leading bits of a digest that the first count goes by.
@@ -94,7 +97,8 @@ def units(text: str, hashed: bool = True):
     word, clauses, begin = 0, [], 0
     for line in _LINE.finditer(text):
         at, stop, first, whole = line.start(), line.end(), word, []
-        for end in (*(m.end() for m in cut.finditer(text, at, stop)), stop):
+        # line ends cut nothing off that the end of the line does not
+        for end in (*(m.end() for m in cut.finditer(text, at, line.end(1))), stop):
             words = words_in(at, end)
             if words:
                 clauses.append((begin, end, word, words))
