@@ -58,17 +58,15 @@ def group_percentiles(
         return group_percentiles(whole, [_ALL], columns, probs, large, ranked).drop(_ALL)
 
     data = df.select(*keys, *columns)
-    spreads = stage(
-        data.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("_rows"), *[F.approx_count_distinct(c).alias(f"_d{i}") for i, c in enumerate(columns)]
-        ),
-        "value-counts",
+    spreads = data.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.approx_count_distinct(c).alias(f"_d{i}") for i, c in enumerate(columns)]
     )
     widest = spreads.agg(F.max("_rows").alias("_rows"), *[F.max(f"_d{i}").alias(f"_d{i}") for i in range(len(columns))]).first()
     many = [i for i in range(len(columns)) if (widest["_rows"] or 0) > large and widest[f"_d{i}"] > large]
     if not many:
         return _builtin(data, keys, columns, probs)
 
+    spreads = stage(spreads, "value-counts")
     is_hot = reduce(lambda a, b: a | b, [F.col(f"_d{i}") > large for i in many])
     hot = stage(spreads.filter(is_hot).select(*keys), "hot-groups")
     wide = [columns[i] for i in many]
