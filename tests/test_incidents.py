@@ -309,6 +309,20 @@ def test_forest_stays_within_its_nodes(rows, trees, depth):
     assert least == 1 or rows > 10**4
 
 
+def test_trees_grow_from_kept_nodes(spark, interacting, monkeypatch):
+    """Rows are not walked from the root at every level, and the forest is the one that such walks give."""
+    model, _, names, _ = interacting
+    assert model.stages[-1].getCacheNodeIds() and spark.sparkContext.getCheckpointDir()
+    df = spark.range(500).select(*[((F.col("id") * p) % 101 / 101).alias(n) for n, p in zip(names, (7, 11, 13, 17))])
+    df = stage(df.withColumn("is_anomaly", (F.col("a") > 0.5) & (F.col("b") > 0.5)))
+    kept = detect.train_detector(df, names, trees=5, max_depth=8).stages[-1]
+    forest = detect.RandomForestClassifier
+    monkeypatch.setattr(detect, "RandomForestClassifier", lambda **given: forest(**{**given, "cacheNodeIds": False}))
+    walked = detect.train_detector(df, names, trees=5, max_depth=8).stages[-1]
+    assert kept.totalNumNodes > 20
+    assert kept.toDebugString.split("\n")[1:] == walked.toDebugString.split("\n")[1:]
+
+
 def test_detection_rollup(spark):
     df = spark.createDataFrame([(1, 0, 0.2), (1, 1, 0.9), (2, 0, 0.5)], "case_id int, prediction int, probability double")
     assert [tuple(r) for r in detect.detect_batches(df).collect()] == [(1, True, 1, 0.9, 2)]
