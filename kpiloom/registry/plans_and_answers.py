@@ -8,10 +8,10 @@ from kpiloom import fixed_values as fv
 from kpiloom.functions import expr as E
 from kpiloom.functions import json_text as J
 from kpiloom.operators import cases, detect, diagnose, features, fingerprint, knowledge, payloads, planning
-from kpiloom.operators import quality, report, responses, verify
+from kpiloom.operators import quality, report, responses, sliding, verify
 from kpiloom.registry.base import answers_sql, body_sql, check_sql, query, r, rounded
-from kpiloom.registry.incidents import _SB, _TOP, _after, _scored_batches
-from kpiloom.registry.inputs import anomalies_profiled, baselines, batches, kpi_r
+from kpiloom.registry.incidents import _SB, _TOP, _after, _detections, _first_hits
+from kpiloom.registry.inputs import SIX_HOURS, anomalies_profiled, baselines, batches, incidents, kpi_r
 from kpiloom.session import stage
 from kpiloom.sources import views
 
@@ -343,8 +343,7 @@ def quality_payload(spark, d):
     + ", " + r("arg_min(bler_dl, (ts, event_id))", "first_bler")
     + " FROM sb WHERE prediction = 1 GROUP BY case_id", "incidents", "scored", sb=_SB))
 def insight_payload(spark, d):
-    scored = _scored_batches(spark, d)
-    out = payloads.insight_payload(detect.anomaly_samples(scored), detect.detect_batches(scored))
+    out = payloads.insight_payload(detect.anomaly_samples(_first_hits(spark, d)), _detections(spark, d))
     return rounded(out.select(
         "case_id",
         _from("payload", "$.total_anomalies", "bigint").alias("total_anomalies"),
@@ -423,7 +422,9 @@ def execution_payload(spark, d):
     f"{r('b.prb_dl', 'base_prb')} FROM before_r p JOIN after_r a ON a.case_id = p.case_id "
     "LEFT JOIN base b ON b.cell_name = p.cell_name", "before_r", "after_r", "base"))
 def verification_payload(spark, d):
-    wide = verify.verification_wide(cases.before_row(batches(spark, d)), _after(spark, d), baselines(spark, d))
+    found = cases.as_cases(incidents(spark, d))
+    last = sliding.last_in_window(found, kpi_r(spark, d), SIX_HOURS, 0, ["ts", "event_id", *fv.VERIFY_METRICS])
+    wide = verify.verification_wide(cases.before_row(last), _after(spark, d), baselines(spark, d))
     return rounded(payloads.verification_payload(wide).select(
         "case_id",
         _from("payload", "$.cell").alias("cell"),

@@ -9,7 +9,7 @@ from kpiloom import fixed_values as fv
 from kpiloom.operators import cases, detect, diagnose, features, fingerprint, knowledge, payloads, planning
 from kpiloom.operators import quality, responses, sliding, verify
 from kpiloom.registry.base import answers_sql, check_sql, query, r, rounded
-from kpiloom.registry.incidents import _CTX, _SB, _TOP, _line, _scored_batches
+from kpiloom.registry.incidents import _CTX, _SB, _TOP, _detections, _first_hits, _line
 from kpiloom.registry.inputs import SIX_HOURS, anomalies_profiled, baselines, incidents, kpi_r
 from kpiloom.registry.plans_and_answers import _OBJ, _PLANS, _SUMMARY_CTES, _TOUCHED, _cases, _get, _type
 from kpiloom.session import stage
@@ -170,10 +170,9 @@ def quality_payload_whole(spark, d):
     "count(*) OVER (PARTITION BY case_id) AS total_anomalies, row_number() OVER (PARTITION BY case_id ORDER BY ts, event_id) "
     "AS pos FROM sb WHERE prediction = 1) x WHERE pos <= 3", "incidents", "scored", sb=_SB))
 def insight_payload_whole(spark, d):
-    scored = _scored_batches(spark, d)
     metrics = ",".join(f"{m}:double" for m in fv.SAMPLE_METRICS)
     schema = f"total_anomalies bigint, samples array<struct<probability:double,metrics:struct<{metrics}>>>"
-    out = _read(payloads.insight_payload(detect.anomaly_samples(scored), detect.detect_batches(scored)), schema, "case_id")
+    out = _read(payloads.insight_payload(detect.anomaly_samples(_first_hits(spark, d)), _detections(spark, d)), schema, "case_id")
     return rounded(out.select("case_id", "p.total_anomalies", F.posexplode("p.samples").alias("pos", "s")).select(
         "case_id", "total_anomalies", (F.col("pos") + 1).alias("pos"), "s.probability", "s.metrics.*"))
 

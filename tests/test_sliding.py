@@ -79,6 +79,25 @@ def test_last_row_by_brute_force(spark, data, before, after, parts):
     assert {r["case_id"]: (r["cell_name"], r["event_id"], r["x"]) for r in got.collect()} == want
 
 
+@pytest.mark.parametrize("before, after, n, parts", [(6 * HOUR, 0, 3, 16), (300, 0, 1, 1), (100, 1500, 5, 2), (0, 6 * HOUR, 2, 4)])
+def test_first_rows_by_brute_force(spark, data, before, after, n, parts):
+    rows, asked = data
+    got = sliding.first_in_window(
+        cases_of(spark, asked), samples_of(spark, rows), before, after, n, ["event_id", "x"], parts=parts)
+    want = []
+    for case, cell, t0 in asked:
+        found = sorted(inside(rows, cell, t0, before, after), key=lambda r: (r[2], r[0]))
+        want += [(case, cell, r[0], r[3]) for r in found[:n]]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr) and len(want) > 300
+
+
+def test_first_rows_of_cases_and_samples_that_come_twice(spark):
+    rows = [(i, "A", s, float(i), 1, 0.1) for i, s in ((9, 100), (5, 100), (5, 100), (7, 100), (3, 101))]
+    got = sliding.first_in_window(cases_of(spark, [(1, "A", 100), (1, "A", 100), (2, "A", 160)]), samples_of(spark, rows), 60, 0, 3, ["event_id"])
+    want = sorted([(1, 5), (1, 5), (1, 7)] * 2 + [(2, 5), (2, 5), (2, 7)])
+    assert sorted((r["case_id"], r["event_id"]) for r in got.collect()) == want
+
+
 def test_several_windows_in_one_pass(spark, data):
     rows, asked = data
     windows = {"back": (300, 0), "ahead": (0, 900), "early": (HOUR, 0)}
@@ -108,6 +127,22 @@ def test_equal_to_the_batches(spark, data):
     assert shown(quality.window_quality(found, samples, features, 6 * HOUR)) == shown(quality.batch_quality(batches, features))
     assert shown(quality.window_stats(found, samples, features, 6 * HOUR)) == shown(quality.batch_stats(batches, features))
     assert shown(detect.detect_windows(found, samples, 6 * HOUR)) == shown(detect.detect_batches(batches))
+    first = sliding.first_in_window(found, samples.where("prediction = 1"), 6 * HOUR, 0, 3)
+    assert shown(detect.anomaly_samples(first)) == shown(detect.anomaly_samples(batches))
+
+
+@pytest.mark.parametrize("name", ["verification_payload", "anomaly_samples", "insight_payload", "insight_payload_whole"])
+def test_queries_of_first_and_last_rows_make_no_pairs(spark, tmp_path, monkeypatch, name):
+    """Cases meet samples by their numbers or places, never by an interval of time."""
+    import __spark_entry__
+
+    rows = spark.range(400).select(
+        F.col("id").alias("event_id"), F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id * 97)").alias("ts"),
+        (F.col("id") % 3).alias("user_id"), F.when(F.col("id") % 4 == 0, "error").otherwise("view").alias("event_type"),
+        F.lit(1.0).alias("value"), F.concat(F.lit("k=") , (F.col("id") % 90).cast("string")).alias("props"))
+    rows.write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(cases, "interval_join", lambda *a, **k: pytest.fail("pairs of cases and samples"))
+    assert __spark_entry__.queries()[name](spark, str(tmp_path)).count() > 50
 
 
 def test_no_join_and_no_pairs_in_the_plan(spark, data):
