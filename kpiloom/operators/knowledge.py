@@ -169,13 +169,15 @@ def similar_cases(cases: DataFrame, learnings: DataFrame, k: int = 3) -> DataFra
 
 
 def recommendations(similar: DataFrame, learnings: DataFrame,
-                    min_confidence: float = fv.RECOMMEND_MIN_CONFIDENCE) -> DataFrame:
+                    min_confidence: float = fv.RECOMMEND_MIN_CONFIDENCE, written: bool = False) -> DataFrame:
     """Citations of similar learnings that have one and are confident enough.
 
+    ``similar`` is read twice: it is written first, unless it is a ``written`` table.
+
     A popular learning is a hot key of ``similar``, so the learnings in use (few:
     k per case shape) are gathered first and broadcast if that holds.
     """
-    similar = stage(similar, "similar")
+    similar = similar if written else stage(similar, "similar")
     used = similar.select("learning_id").distinct()
     cited = learnings.filter(
         (F.coalesce(F.col("citation"), F.lit("")) != "") & (F.col("confidence") > min_confidence)

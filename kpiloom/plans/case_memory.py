@@ -32,4 +32,4 @@ def recall(cases: DataFrame, learnings: DataFrame, k: int = 3) -> tuple[DataFram
         F.col("rca.primary_cause").alias("cause"),
     )
     similar = stage(knowledge.similar_cases(signals, learnings, k), "similar")
-    return similar, knowledge.recommendations(similar, learnings)
+    return similar, knowledge.recommendations(similar, learnings, written=True)

@@ -105,10 +105,16 @@ def claim(spark: SparkSession, path: str, run: str, rows: int) -> tuple[int, int
         files.remove(draft)
 
 
+def is_there(spark: SparkSession, path: str, run: str) -> bool:
+    """Whether the rows of the run can be seen."""
+    own = _state(spark, path, run)["own"]
+    return own is not None and _Files(spark, path).exists(f"{path}/_run={own['number']}")
+
+
 def append_once(rows: DataFrame, path: str, run: str, position: str | None = None, id_column: str = "record_id") -> bool:
     """Add the rows of a run to the table at ``path``; False if the run is there already.
 
-    ``rows`` must be a written table.  With ``position`` (1-based, gapless) ids are
+    ``rows`` must be a written table, or follow from written tables alone.  With ``position`` (1-based, gapless) ids are
     ``id_column`` = first id of the run's range + position.
     """
     spark = rows.sparkSession

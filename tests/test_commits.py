@@ -81,3 +81,14 @@ def test_cases_are_recorded_in_order_once(spark, tmp_path):
     assert sorted(r["record_id"] for r in rows) == list(range(1, 1001))
     assert all((r["record_id"] - 1) % 500 == r["v"] for r in rows)
     assert not [f for f in os.listdir(f"{path}/_writing") if not f.startswith(".")]
+
+
+def test_a_run_tried_again_is_not_sorted_again(spark, tmp_path, monkeypatch):
+    df = spark.range(0, 60, numPartitions=3).select(F.col("id").alias("v"))
+    path = str(tmp_path / "history")
+    assert sinks.record_cases(df, path, ["v"], run="day-1")
+    monkeypatch.setattr(sinks, "global_row_number", lambda *a, **k: pytest.fail("sorted again"))
+    assert not sinks.record_cases(df, path, ["v"], run="day-1")
+    with pytest.raises(ValueError):  # as before: the run has other rows now
+        sinks.record_cases(df.where("v > 5"), path, ["v"], run="day-1")
+    assert spark.read.parquet(path).count() == 60
