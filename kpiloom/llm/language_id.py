@@ -3,7 +3,7 @@
 A text becomes the counts of its hashed character 1-, 2- and 3-grams (lower case,
 anything but letters read as a blank), damped, weighted by IDF over all learning
 documents, and scaled to length one.  Each language has a few centroids, found by
-spherical k-means on a bounded sample of its learning documents; a text gets the
+spherical k-means on all its learning documents; a text gets the
 language of the centroid with the largest cosine.  A centroid rejects what lies much
 farther from it than learning texts of like length do: hashed grams collide more, and
 cosines grow, the longer a text is, so floors are kept per centroid and length.
@@ -11,9 +11,11 @@ cosines grow, the longer a text is, so floors are kept per centroid and length.
 Learning documents are those with a language, an id, and crc32 of the id's decimal
 text not divisible by ``FOLDS``.  Ids, sources and languages never enter a prediction.
 
-Bounds: ``DIMENSIONS`` counts, about ``SAMPLE`` rows per language (a Bernoulli draw
-by a hash of the id); IDF counts run over all learning documents.  Every language is
-learned.  The model, 48 kB a language, is broadcast; if it would pass ``MODEL_BYTES``,
+IDF, centroids and floors come from every learning document.  Their counts are written
+once, filled slots only; each step of the k-means is one pass over them that adds up whole
+numbers, so the model is the same however the rows are spread.
+
+Bounds: ``DIMENSIONS`` counts, ``ROUNDS`` steps.  Every language is learned.  The model, 48 kB a language, is broadcast; if it would pass ``MODEL_BYTES``,
 learning fails and says so, it never leaves a language out.
 
 Defined results: null text or one without a letter is ``und`` with score 0, and
@@ -25,6 +27,7 @@ table; ties go to the language first in the alphabet.
 from __future__ import annotations
 
 import functools
+import itertools
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,12 +36,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kpiloom.llm.common import quoted, ship
+from kpiloom.operators.percentiles import group_percentiles
 from kpiloom.session import stage
 
 DIMENSIONS = 4096
 CENTROIDS = 3
-#: Learning documents per language that the centroids are fitted on, in expectation.
-SAMPLE = 600
 MODEL_BYTES = 512 * 1024 * 1024
 FOLDS = 5
 ROUNDS = 12
@@ -50,6 +52,12 @@ CUTS = [1 << n for n in range(14)]
 #: Lengths are alike by the bits of the number of filled slots.
 LENGTHS = DIMENSIONS.bit_length() + 1
 CHUNK = 500_000
+#: Coordinates are added up as whole multiples of this.
+STEP = 2.0 ** -32
+#: Languages whose sums a task keeps before it hands them on.
+OPEN_SUMS = 256
+#: Cosines of one centroid and length that one buffer may hold.
+LARGE_GROUP = 200_000
 UNKNOWN = "und"
 
 
@@ -72,6 +80,38 @@ def _normal(points: np.ndarray) -> np.ndarray:
     return out
 
 
+def _slots(c: np.ndarray, back: int = 0):
+    """Per length of gram: slots of the grams that end at ``back`` or later, and where they end, ascending."""
+    letter = c != 32
+    c = c.astype(np.uint64)
+    two = c[:-1] * np.uint64(0x9E3779B1) + c[1:]
+    three = two[:-1] * np.uint64(0x85EBCA77) + c[2:]
+    for n, gram, some in (
+        (1, c, letter), (2, two, letter[:-1] | letter[1:]), (3, three, letter[:-2] | letter[1:-1] | letter[2:])
+    ):
+        new = max(0, back - n + 1)
+        at = np.flatnonzero(some[new:]) + new
+        slot = (gram[at] * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(n)) * np.uint64(0x9FB21C651E98DF25) >> np.uint64(52)
+        yield slot.astype(np.int64), at + n - 1
+
+
+def prefix_counts(text: str):
+    """``gram_counts`` of the text cut to each of ``CUTS`` that is shorter; one array, changed in place."""
+    c = _normal(np.frombuffer(text[: CUTS[-1]].encode("utf-32-le", "surrogatepass"), dtype=np.uint32))
+    letters, grams = np.flatnonzero(c != 32), list(_slots(c))
+    counts, low = np.zeros(DIMENSIONS, dtype=np.int64), 0
+    for cut in CUTS:
+        if cut >= len(text):
+            return
+        for slot, end in grams:
+            some = slot[np.searchsorted(end, low) : np.searchsorted(end, cut)]
+            if len(some):
+                counts += np.bincount(some, minlength=DIMENSIONS)
+        low = cut
+        if len(letters) and letters[0] < cut:
+            yield counts
+
+
 def gram_counts(text: str) -> np.ndarray | None:
     """Counts of the hashed grams of a whole text; null for a text without a letter."""
     counts, any_letter = np.zeros(DIMENSIONS, dtype=np.int64), False
@@ -79,18 +119,10 @@ def gram_counts(text: str) -> np.ndarray | None:
         chunk = text[max(0, start - 2) : start + CHUNK]  # two characters back: no gram is lost at a cut
         c = _normal(np.frombuffer(chunk.encode("utf-32-le", "surrogatepass"), dtype=np.uint32))
         back = min(2, start)
-        letter = c != 32
-        any_letter |= bool(letter[back:].any())
-        c = c.astype(np.uint64)
-        two = c[:-1] * np.uint64(0x9E3779B1) + c[1:]
-        three = two[:-1] * np.uint64(0x85EBCA77) + c[2:]
-        for n, gram, some in (
-            (1, c, letter), (2, two, letter[:-1] | letter[1:]), (3, three, letter[:-2] | letter[1:-1] | letter[2:])
-        ):
-            new = max(0, back - n + 1)
-            g = gram[new:][some[new:]]
-            slot = (g * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(n)) * np.uint64(0x9FB21C651E98DF25) >> np.uint64(52)
-            counts += np.bincount(slot.astype(np.int64), minlength=DIMENSIONS)
+        back = min(2, start)
+        any_letter |= bool((c[back:] != 32).any())
+        for slot, _ in _slots(c, back):
+            counts += np.bincount(slot, minlength=DIMENSIONS)
     return counts if any_letter else None
 
 
@@ -116,27 +148,6 @@ def unit(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return v / max(float(np.linalg.norm(v)), 1e-9)
 
 
-def fit_centroids(vectors: np.ndarray, k: int = CENTROIDS) -> np.ndarray:
-    """Spherical k-means from a fixed start (nearest to the mean, then farthest first)."""
-    def scaled(x):
-        return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
-
-    chosen = [int(np.argmax(vectors @ vectors.mean(axis=0)))]
-    while len(chosen) < min(k, len(vectors)):
-        far = (vectors @ vectors[chosen].T).max(axis=1)
-        if far.min() > 1 - 1e-6:
-            break
-        chosen.append(int(np.argmin(far)))
-    centers = vectors[chosen]
-    for _ in range(ROUNDS):
-        nearest = np.argmax(vectors @ centers.T, axis=1)
-        sums = np.stack([
-            vectors[nearest == j].sum(axis=0) if (nearest == j).any() else centers[j] for j in range(len(centers))
-        ])
-        centers = scaled(sums)
-    return centers
-
-
 def fold(id: Column, folds: int = FOLDS) -> Column:
     return F.pmod(F.crc32(id.cast("string")), F.lit(folds))
 
@@ -147,39 +158,171 @@ def _learning(docs: DataFrame, id: str, text: str, lang: str) -> DataFrame:
     ).where((fold(F.col("doc_id")) != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
 
 
-def _idf(learning: DataFrame) -> np.ndarray:
+def _grams(learning: DataFrame) -> DataFrame:
+    """``lang``, filled slots and their counts of every learning document with a letter, written."""
+
+    def count(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                found = [gram_counts(x.as_py()) for x in part.column(1)]
+                keep = [i for i, c in enumerate(found) if c is not None]
+                filled = [np.flatnonzero(found[i]) for i in keep]
+                counts = [found[i][f] for i, f in zip(keep, filled)]
+                yield pa.RecordBatch.from_arrays([
+                    part.column(0).take(pa.array(keep, pa.int64())),
+                    pa.array([f.astype(np.uint16).tobytes() for f in filled], pa.binary()),
+                    pa.array([c.astype(np.min_scalar_type(c.max())).tobytes() for c in counts], pa.binary()),
+                ], ["lang", "slots", "counts"])
+
+    return stage(learning.select("lang", "text").mapInArrow(count, "lang string, slots binary, counts binary"), "grams")
+
+
+def _read(slots: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    at = np.frombuffer(slots, np.uint16)
+    return at, np.frombuffer(counts, f"u{len(counts) // len(at)}")
+
+
+def _idf(grams: DataFrame) -> np.ndarray:
     """One row per task and dimension, summed; the driver gets ``DIMENSIONS`` sums."""
 
     def count(batches):
         seen, total = np.zeros(DIMENSIONS, dtype=np.int64), 0
         for batch in batches:
             for x in batch.column(0):
-                counts = gram_counts(x.as_py())
-                if counts is not None:
-                    seen += counts > 0
-                    total += 1
+                seen[np.frombuffer(x.as_py(), np.uint16)] += 1
+                total += 1
         if total:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(-1, DIMENSIONS)), pa.array(np.append(total, seen))], ["slot", "n"]
             )
 
-    rows = learning.select("text").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    rows = grams.select("slots").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
     n = np.zeros(DIMENSIONS + 1)
     for r in rows.collect():
         n[r["slot"] + 1] = r["n"]
     return np.log((n[0] + 1) / (n[1:] + 1)) + 0.1
 
 
-def _floors(sample: DataFrame, idf: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+def _vectors(batches, idf: np.ndarray):
+    """Language, slots, counts as written, and the coordinates in those slots, of each row."""
+    for batch in batches:
+        for lang, slots, counts in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            at, n = _read(slots, counts)
+            v = (np.log1p(n.astype(np.int64)) * idf[at]).astype(np.float32)
+            yield lang, slots, counts, at, v / max(float(np.linalg.norm(v)), 1e-9)
+
+
+def _sums(grams: DataFrame, idf: np.ndarray, centers: dict[str, np.ndarray] | None) -> dict[str, dict[int, np.ndarray]]:
+    """Sums of the vectors nearest to each centroid of their language; without any, of all of a language."""
+    sent = grams.sparkSession.sparkContext.broadcast((idf, centers))
+
+    def add(batches):
+        weights, known = sent.value
+        sums: dict = {}
+
+        def handed_on():
+            for (lang, row), q in sums.items():
+                at = np.flatnonzero(q)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(at), pa.string()), pa.array([row] * len(at), pa.int32()),
+                     pa.array(at.astype(np.int32)), pa.array(q[at])], ["lang", "row", "slot", "q"])
+            sums.clear()
+
+        for lang, _, _, at, v in _vectors(batches, weights):
+            row = 0 if known is None else int(np.argmax(known[lang][:, at] @ v))
+            if (lang, row) not in sums:
+                if len(sums) >= OPEN_SUMS:
+                    yield from handed_on()
+                sums[lang, row] = np.zeros(DIMENSIONS, np.int64)
+            sums[lang, row][at] += np.rint(v / STEP).astype(np.int64)
+        yield from handed_on()
+
+    rows = (
+        grams.mapInArrow(add, "lang string, row int, slot int, q long").groupBy("lang", "row", "slot")
+        .agg(F.sum("q").alias("q")).toArrow()
+    )
+    out: dict = {}
+    slots, q = rows.column("slot").to_numpy(), rows.column("q").to_numpy()
+    for i, (lang, row) in enumerate(zip(rows.column("lang").to_pylist(), rows.column("row").to_pylist())):
+        out.setdefault(lang, {}).setdefault(row, np.zeros(DIMENSIONS))[slots[i]] = q[i] * STEP
+    return out
+
+
+def _extremes(grams: DataFrame, idf: np.ndarray, centers: dict[str, np.ndarray], nearest: bool) -> dict[str, tuple[float, np.ndarray]]:
+    """Per language the vector nearest to its centroids, or farthest from all of them, and its cosine."""
+    sent = grams.sparkSession.sparkContext.broadcast((idf, centers))
+    sign = 1.0 if nearest else -1.0
+
+    def best(batches):
+        weights, known = sent.value
+        found: dict = {}
+
+        def handed_on():
+            if found:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(found), pa.string()),
+                     *[pa.array(c, t) for c, t in zip(zip(*found.values()), (pa.float64(), pa.binary(), pa.binary()))]],
+                    ["lang", "score", "slots", "counts"])
+            found.clear()
+
+        for lang, slots, counts, at, v in _vectors(batches, weights):
+            if lang in known:
+                here = (sign * float((known[lang][:, at] @ v).max()), slots, counts)
+                if lang not in found and len(found) >= OPEN_SUMS:
+                    yield from handed_on()
+                found[lang] = max(found.get(lang, here), here)
+        yield from handed_on()
+
+    rows = (
+        grams.mapInArrow(best, "lang string, score double, slots binary, counts binary").groupBy("lang")
+        .agg(F.max(F.struct("score", "slots", "counts")).alias("best")).select("lang", "best.*").collect()
+    )
+    out = {}
+    for r in rows:
+        counts = np.zeros(DIMENSIONS, np.int64)
+        at, n = _read(bytes(r["slots"]), bytes(r["counts"]))
+        counts[at] = n
+        out[r["lang"]] = sign * r["score"], unit(counts, idf)
+    return out
+
+
+def fit_centroids(grams: DataFrame, idf: np.ndarray, k: int = CENTROIDS) -> dict[str, np.ndarray]:
+    """Spherical k-means of every language from a fixed start (nearest to the mean, then farthest first)."""
+
+    def scaled(x):
+        return (x / np.maximum(np.linalg.norm(x, axis=-1, keepdims=True), 1e-9)).astype(np.float32)
+
+    means = {lang: scaled(rows[0])[None] for lang, rows in _sums(grams, idf, None).items()}
+    centers = {lang: v[None] for lang, (_, v) in _extremes(grams, idf, means, nearest=True).items()}
+    growing = centers
+    while growing and len(next(iter(growing.values()))) < k:
+        far = _extremes(grams, idf, growing, nearest=False)
+        growing = {lang: np.vstack([centers[lang], v]) for lang, (cosine, v) in far.items() if cosine <= 1 - 1e-6}
+        centers = centers | growing
+    for _ in range(ROUNDS if centers else 0):
+        sums = _sums(grams, idf, centers)
+        moved = {
+            lang: np.stack([scaled(sums[lang][j]) if j in sums[lang] else c for j, c in enumerate(rows)])
+            for lang, rows in centers.items()
+        }
+        still = all(np.array_equal(moved[lang], rows) for lang, rows in centers.items())
+        centers = moved
+        if still:
+            break
+    return centers
+
+
+def _floors(learning: DataFrame, idf: np.ndarray, centroids: np.ndarray) -> np.ndarray:
     """A row per centroid, a column per length; where a centroid has no text of a length, that of the next shorter."""
-    sent = sample.sparkSession.sparkContext.broadcast((idf, centroids))
+    sent = learning.sparkSession.sparkContext.broadcast((idf, centroids))
 
     def nearest(batches):
         weights, centers = sent.value
         for batch in batches:
             for x in batch.column(0):
                 text, found = x.as_py(), []
-                for counts in map(gram_counts, {text, *(text[:n] for n in CUTS)}):
+                for counts in itertools.chain([gram_counts(text)], prefix_counts(text)):
                     if counts is not None:
                         cosines = centers @ unit(counts, weights)
                         best = int(np.argmax(cosines))
@@ -190,13 +333,11 @@ def _floors(sample: DataFrame, idf: np.ndarray, centroids: np.ndarray) -> np.nda
                         ["row", "length", "cosine"],
                     )
 
-    rows = (
-        sample.select("text").mapInArrow(nearest, "row int, length int, cosine double").groupBy("row", "length")
-        .agg(F.percentile("cosine", LOW).alias("low")).collect()
-    )
+    cosines = stage(learning.select("text").mapInArrow(nearest, "row int, length int, cosine double"), "cosines")
+    rows = group_percentiles(cosines, ["row", "length"], ["cosine"], [LOW], LARGE_GROUP).collect()
     floors = np.full((len(centroids), LENGTHS), np.nan)
     for r in rows:
-        floors[r["row"], r["length"]] = SLACK * r["low"]
+        floors[r["row"], r["length"]] = SLACK * r["cosine"][0]
     floors[:, 0] = np.where(np.isnan(floors[:, 0]), 0.0, floors[:, 0])
     for n in range(1, LENGTHS):
         floors[:, n] = np.where(np.isnan(floors[:, n]), floors[:, n - 1], floors[:, n])
@@ -206,45 +347,16 @@ def _floors(sample: DataFrame, idf: np.ndarray, centroids: np.ndarray) -> np.nda
 def learn(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
     ship(docs.sparkSession)
     learning = _learning(docs, id, text, lang)
-    idf = _idf(learning)
-    sizes = stage(learning.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")), "languages")
-    languages = sizes.count()
-    if not languages:
-        return Model(idf, [], np.zeros((0, DIMENSIONS), np.float32), np.zeros((0, LENGTHS)))
+    grams = _grams(learning)
+    idf = _idf(grams)
+    languages = grams.select("lang").distinct().count()
     if (size := languages * CENTROIDS * DIMENSIONS * 4) > MODEL_BYTES:
         raise ValueError(f"{languages} languages make a model of {size} bytes, more than MODEL_BYTES")
-    draw = F.pmod(F.xxhash64(F.lit("sample"), F.col("doc_id")), F.lit(1 << 20)) / float(1 << 20)
-    # one row per language, as many as the check above allows
-    sample = learning.join(F.broadcast(sizes), "lang").where(draw < F.lit(float(SAMPLE)) / F.col("rows")).select("lang", "text")
-
-    def vectors(batches):
-        for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                found = [gram_counts(x.as_py()) for x in part.column(1)]
-                keep = [i for i, c in enumerate(found) if c is not None]
-                flat = [unit(found[i], idf).tobytes() for i in keep]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(keep, pa.int64())), pa.array(flat, pa.binary())], ["lang", "vector"]
-                )
-
-    def fit(key, table):
-        rows = sorted(table.column("vector").to_pylist())  # whatever order the rows came in
-        centers = fit_centroids(np.frombuffer(b"".join(rows), np.float32).reshape(len(rows), DIMENSIONS))
-        return pa.table({
-            "lang": pa.array([key[0].as_py()] * len(centers)), "cluster": pa.array(range(len(centers)), pa.int32()),
-            "center": pa.array([c.astype(np.float32).tobytes() for c in centers], pa.binary()),
-        })
-
-    fitted = (
-        sample.mapInArrow(vectors, "lang string, vector binary").groupBy("lang")
-        .applyInArrow(fit, "lang string, cluster int, center binary").collect()
-    )
-    fitted.sort(key=lambda r: (r["lang"], r["cluster"]))
+    fitted = sorted(fit_centroids(grams, idf).items())
     if not fitted:
         return Model(idf, [], np.zeros((0, DIMENSIONS), np.float32), np.zeros((0, LENGTHS)))
-    centroids = np.stack([np.frombuffer(bytes(r["center"]), np.float32) for r in fitted])
-    return Model(idf, [r["lang"] for r in fitted], centroids, _floors(sample, idf, centroids))
+    centroids = np.concatenate([rows for _, rows in fitted])
+    return Model(idf, [lang for lang, rows in fitted for _ in rows], centroids, _floors(learning, idf, centroids))
 
 
 def judge(texts: list[str | None], model: Model) -> list[tuple[str, float, bool]]:

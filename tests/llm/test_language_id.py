@@ -120,3 +120,21 @@ def test_a_model_too_large_is_an_error(spark, monkeypatch):
     docs = spark.createDataFrame([(i, "some words", f"l{i}") for i in range(9)], "doc_id long, text string, lang string")
     with pytest.raises(ValueError, match="MODEL_BYTES"):
         language_id.learn(docs)
+
+
+def test_counts_of_prefixes(monkeypatch):
+    text = "12 Ab, \U00020000x " + "ver ung 3 sch " * 40
+    want = [language_id.gram_counts(text[:n]) for n in language_id.CUTS if n < len(text)]
+    got = [c.copy() for c in language_id.prefix_counts(text)]
+    assert len(want) == 10 and all((a == b).all() for a, b in zip([w for w in want if w is not None], got, strict=True))
+
+
+def test_every_learning_document_is_learned_from(spark):
+    """One of 3,000 documents has a language's other half: a draw of some hundreds would nearly always miss it."""
+    rows = [(i, "ka to mi ru shi no " * 5, "aa") for i in range(3000)] + [(9000 + i, "ger ung sch lich", "bb") for i in range(40)]
+    odd = next(i for i in range(4000, 4100) if zlib.crc32(str(i).encode()) % 5)
+    model = language_id.learn(frame(spark, rows + [(odd, "qwx vyz jfj", "aa")]))
+    again = language_id.learn(frame(spark, rows + [(odd, "qwx vyz jfj", "aa")]).repartition(7))
+    assert model.langs == again.langs and np.array_equal(model.centroids, again.centroids) and np.array_equal(model.floors, again.floors)
+    (lang, score, rejected), = language_id.judge(["qwx vyz jfj"], model)
+    assert (lang, rejected) == ("aa", False) and score > 0.99
