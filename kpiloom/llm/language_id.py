@@ -27,7 +27,6 @@ table; ties go to the language first in the alphabet.
 from __future__ import annotations
 
 import functools
-import itertools
 from dataclasses import dataclass
 
 import numpy as np
@@ -58,6 +57,8 @@ STEP = 2.0 ** -32
 OPEN_SUMS = 256
 #: Cosines of one centroid and length that one buffer may hold.
 LARGE_GROUP = 200_000
+#: Logarithms of one and the counts below this are looked up.
+LOOKED_UP = 1 << 15
 UNKNOWN = "und"
 
 
@@ -73,45 +74,111 @@ def _letters() -> np.ndarray:
 
 
 def _normal(points: np.ndarray) -> np.ndarray:
-    table = _letters()
-    out = table[np.minimum(points, 0xFFFF)]
-    for cp in np.unique(points[points > 0xFFFF]).tolist():
-        out[points == cp] = cp if chr(cp).isalpha() else 32
+    out = _letters().take(points, mode="clip")  # the last of the plane is no letter
+    if len(points) and points.max() > 0xFFFF:
+        for cp in np.unique(points[points > 0xFFFF]).tolist():
+            out[points == cp] = cp if chr(cp).isalpha() else 32
     return out
 
 
+#: Last two steps of the hash of a gram, for each length: factor and what is added.
+_MIX = 0x9FB21C651E98DF25
+_FACTOR = np.uint64(0xC2B2AE3D27D4EB4F * _MIX % 2**64)
+_ADDED = [np.uint64(n * _MIX % 2**64) for n in range(4)]
+
+
 def _slots(c: np.ndarray, back: int = 0):
-    """Per length of gram: slots of the grams that end at ``back`` or later, and where they end, ascending."""
+    """Per length of gram: slots of the grams that end at ``back`` or later, and which of the ends count, ascending."""
     letter = c != 32
     c = c.astype(np.uint64)
     two = c[:-1] * np.uint64(0x9E3779B1) + c[1:]
     three = two[:-1] * np.uint64(0x85EBCA77) + c[2:]
-    for n, gram, some in (
-        (1, c, letter), (2, two, letter[:-1] | letter[1:]), (3, three, letter[:-2] | letter[1:-1] | letter[2:])
-    ):
+    pair = letter[:-1] | letter[1:]
+    for n, gram, some in ((1, c, letter), (2, two, pair), (3, three, pair[:-1] | letter[2:])):
         new = max(0, back - n + 1)
-        at = np.flatnonzero(some[new:]) + new
-        slot = (gram[at] * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(n)) * np.uint64(0x9FB21C651E98DF25) >> np.uint64(52)
-        yield slot.astype(np.int64), at + n - 1
+        slot = gram[new:] * _FACTOR
+        slot += _ADDED[n]
+        slot >>= np.uint64(52)
+        yield slot.view(np.int64), some[new:]
+
+
+def _damped(counts: np.ndarray) -> np.ndarray:
+    if len(counts) and counts.max() >= LOOKED_UP:
+        return np.log1p(counts.astype(np.int64, copy=False))
+    return _logs().take(counts)
+
+
+@functools.lru_cache(maxsize=1)
+def _logs() -> np.ndarray:
+    return np.log1p(np.arange(LOOKED_UP))
+
+
+@functools.lru_cache(maxsize=1)
+def _cuts() -> np.ndarray:
+    """The first of ``CUTS`` that keeps a character, by its place."""
+    return np.searchsorted(CUTS, np.arange(CUTS[-1]), "right").astype(np.uint16)
+
+
+def prefix_grams(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Cut, slot, count up to the cut before and count up to the cut, wherever a count grows; slots ascending, cuts within.
+
+    Cuts are numbered as in ``CUTS``; a text not longer than the last of them is whole at
+    the first cut that is no shorter.
+    """
+    c = _normal(np.frombuffer(text[: CUTS[-1]].encode("utf-32-le", "surrogatepass"), dtype=np.uint32))
+    cuts, wide = _cuts()[: len(c)], np.uint16(len(CUTS) + 1)
+    key = np.concatenate([
+        (slot.astype(np.uint16) * wide + cuts[n:])[some] for n, (slot, some) in enumerate(_slots(c))
+    ])
+    key.sort()
+    new = np.flatnonzero(key[1:] != key[:-1]) + 1
+    first = np.append(0, new)[: len(key)]
+    end = np.append(new, len(key))[: len(key)]
+    slot, cut = np.divmod(key[first], wide)
+    fresh = np.append(True, slot[1:] != slot[:-1])[: len(key)]
+    base = first[fresh][np.cumsum(fresh) - 1]
+    return cut, slot, first - base, end - base
 
 
 def prefix_counts(text: str):
     """``gram_counts`` of the text cut to each of ``CUTS`` that is shorter; one array, changed in place."""
-    c = _normal(np.frombuffer(text[: CUTS[-1]].encode("utf-32-le", "surrogatepass"), dtype=np.uint32))
-    letters, grams = np.flatnonzero(c != 32), list(_slots(c))
-    counts, low = np.zeros(DIMENSIONS, dtype=np.int64), 0
-    for cut in CUTS:
-        if cut >= len(text):
+    cut, slot, _, after = prefix_grams(text)
+    counts = np.zeros(DIMENSIONS, dtype=np.int64)
+    for n, size in enumerate(CUTS):
+        if size >= len(text):
             return
-        for slot, end in grams:
-            some = slot[np.searchsorted(end, low) : np.searchsorted(end, cut)]
-            if len(some):
-                counts += np.bincount(some, minlength=DIMENSIONS)
-        low = cut
-        if len(letters) and letters[0] < cut:
+        here = cut == n
+        counts[slot[here]] = after[here]
+        if counts.any():
             yield counts
 
 
+def prefix_cosines(text: str, idf: np.ndarray, centers: np.ndarray) -> tuple[list[int], list[int], list[float]]:
+    """Nearest of the centers (a column each), bits of filled slots and cosine of a whole text and of it cut to each
+    of ``CUTS``; nothing for what has no letter.  From one cut to the next only counts that grow are looked at."""
+    cut, slot, before, after = prefix_grams(text)
+    rows = min(int(np.searchsorted(CUTS, len(text))) + 1, len(CUTS))
+    found: tuple = ([], [], [])
+    if len(slot):
+        fresh = before == 0
+        low, high, weight = _damped(before), _damped(after), idf[slot]
+        grown = np.zeros((rows, int(fresh.sum())), np.float32)
+        grown[cut, np.cumsum(fresh) - 1] = (high - low) * weight
+        dots = np.cumsum(grown @ centers.take(slot[fresh], axis=0), axis=0, dtype=np.float64)
+        squares = np.cumsum(np.bincount(cut, (high * high - low * low) * weight * weight, rows))
+        filled = np.cumsum(np.bincount(cut[fresh], minlength=rows))
+        best, some = np.argmax(dots, axis=1), np.flatnonzero(filled)
+        best = best[some]
+        cosines = dots[some, best] / np.maximum(np.sqrt(squares[some]), 1e-9)
+        found = best.tolist(), [n.bit_length() for n in filled[some].tolist()], cosines.tolist()
+    if len(text) > CUTS[-1] and (counts := gram_counts(text)) is not None:
+        cosines = unit(counts, idf) @ centers
+        best = int(np.argmax(cosines))
+        for kept, x in zip(found, (best, length_of(counts), float(cosines[best]))):
+            kept.append(x)
+    return found
+
+
 def gram_counts(text: str) -> np.ndarray | None:
     """Counts of the hashed grams of a whole text; null for a text without a letter."""
     counts, any_letter = np.zeros(DIMENSIONS, dtype=np.int64), False
@@ -119,10 +186,8 @@ def gram_counts(text: str) -> np.ndarray | None:
         chunk = text[max(0, start - 2) : start + CHUNK]  # two characters back: no gram is lost at a cut
         c = _normal(np.frombuffer(chunk.encode("utf-32-le", "surrogatepass"), dtype=np.uint32))
         back = min(2, start)
-        back = min(2, start)
         any_letter |= bool((c[back:] != 32).any())
-        for slot, _ in _slots(c, back):
-            counts += np.bincount(slot, minlength=DIMENSIONS)
+        counts += np.bincount(np.concatenate([slot[some] for slot, some in _slots(c, back)]), minlength=DIMENSIONS)
     return counts if any_letter else None
 
 
@@ -144,8 +209,11 @@ def length_of(counts: np.ndarray) -> int:
 
 
 def unit(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    v = (np.log1p(counts) * idf).astype(np.float32)
-    return v / max(float(np.linalg.norm(v)), 1e-9)
+    return _scaled((_damped(counts) * idf).astype(np.float32))
+
+
+def _scaled(v: np.ndarray) -> np.ndarray:
+    return v / max(float(np.sqrt(v.dot(v))), 1e-9)
 
 
 def fold(id: Column, folds: int = FOLDS) -> Column:
@@ -204,13 +272,34 @@ def _idf(grams: DataFrame) -> np.ndarray:
     return np.log((n[0] + 1) / (n[1:] + 1)) + 0.1
 
 
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of all rows of a binary column, and where each row begins and the last ends."""
+    kind = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    ends = np.frombuffer(column.buffers()[1], kind)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return data[ends[0] : ends[-1]], ends.astype(np.int64) - ends[0]
+
+
 def _vectors(batches, idf: np.ndarray):
-    """Language, slots, counts as written, and the coordinates in those slots, of each row."""
-    for batch in batches:
-        for lang, slots, counts in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            at, n = _read(slots, counts)
-            v = (np.log1p(n.astype(np.int64)) * idf[at]).astype(np.float32)
-            yield lang, slots, counts, at, v / max(float(np.linalg.norm(v)), 1e-9)
+    """Batches of at most 256 rows with their languages, filled slots, the coordinates in them, and row limits of both."""
+    for whole in batches:
+        for start in range(0, whole.num_rows, 256):
+            batch = whole.slice(start, 256)
+            data, ends = _flat(batch.column(1))
+            at, ends = data.view(np.uint16), ends // 2
+            n, n_ends = _flat(batch.column(2))
+            if not np.array_equal(ends, n_ends):  # counts past 255 take more bytes
+                sizes = np.diff(n_ends) // np.diff(ends)
+                n = np.concatenate([
+                    n[a:b].view(f"u{size}").astype(np.int64)
+                    for a, b, size in zip(n_ends[:-1].tolist(), n_ends[1:].tolist(), sizes.tolist())
+                ])
+            v = (_damped(n) * idf.take(at)).astype(np.float32)
+            ends = ends.tolist()
+            for a, b in zip(ends, ends[1:]):
+                v[a:b] = _scaled(v[a:b])
+            yield batch, batch.column(0).to_pylist(), at, v, ends
 
 
 def _sums(grams: DataFrame, idf: np.ndarray, centers: dict[str, np.ndarray] | None) -> dict[str, dict[int, np.ndarray]]:
@@ -229,13 +318,21 @@ def _sums(grams: DataFrame, idf: np.ndarray, centers: dict[str, np.ndarray] | No
                      pa.array(at.astype(np.int32)), pa.array(q[at])], ["lang", "row", "slot", "q"])
             sums.clear()
 
-        for lang, _, _, at, v in _vectors(batches, weights):
-            row = 0 if known is None else int(np.argmax(known[lang][:, at] @ v))
-            if (lang, row) not in sums:
-                if len(sums) >= OPEN_SUMS:
+        for _, langs, at, v, ends in _vectors(batches, weights):
+            places: dict = {}
+            mine = [
+                places.setdefault(
+                    (lang, 0 if known is None else int(np.argmax(known[lang].take(at[a:b], axis=1) @ v[a:b]))), len(places)
+                ) for lang, a, b in zip(langs, ends, ends[1:])
+            ]
+            slot = np.repeat(np.array(mine, np.int64) * DIMENSIONS, np.diff(ends))
+            slot += at
+            # 256 numbers of at most 2 ** 32: doubles hold their sums exactly
+            parts = np.bincount(slot, np.rint(v / STEP), len(places) * DIMENSIONS).astype(np.int64).reshape(-1, DIMENSIONS)
+            for place, q in zip(places, parts):
+                if place not in sums and len(sums) >= OPEN_SUMS:
                     yield from handed_on()
-                sums[lang, row] = np.zeros(DIMENSIONS, np.int64)
-            sums[lang, row][at] += np.rint(v / STEP).astype(np.int64)
+                sums[place] = sums.get(place, 0) + q
         yield from handed_on()
 
     rows = (
@@ -266,12 +363,15 @@ def _extremes(grams: DataFrame, idf: np.ndarray, centers: dict[str, np.ndarray],
                     ["lang", "score", "slots", "counts"])
             found.clear()
 
-        for lang, slots, counts, at, v in _vectors(batches, weights):
-            if lang in known:
-                here = (sign * float((known[lang][:, at] @ v).max()), slots, counts)
-                if lang not in found and len(found) >= OPEN_SUMS:
-                    yield from handed_on()
-                found[lang] = max(found.get(lang, here), here)
+        for batch, langs, at, v, ends in _vectors(batches, weights):
+            for i, (lang, a, b) in enumerate(zip(langs, ends, ends[1:])):
+                if lang in known:
+                    score = sign * float((known[lang].take(at[a:b], axis=1) @ v[a:b]).max())
+                    if lang not in found and len(found) >= OPEN_SUMS:
+                        yield from handed_on()
+                    if lang not in found or score >= found[lang][0]:
+                        here = score, batch.column(1)[i].as_py(), batch.column(2)[i].as_py()
+                        found[lang] = max(found.get(lang, here), here)
         yield from handed_on()
 
     rows = (
@@ -315,23 +415,20 @@ def fit_centroids(grams: DataFrame, idf: np.ndarray, k: int = CENTROIDS) -> dict
 
 def _floors(learning: DataFrame, idf: np.ndarray, centroids: np.ndarray) -> np.ndarray:
     """A row per centroid, a column per length; where a centroid has no text of a length, that of the next shorter."""
-    sent = learning.sparkSession.sparkContext.broadcast((idf, centroids))
+    sent = learning.sparkSession.sparkContext.broadcast((idf, np.ascontiguousarray(centroids.T)))
 
     def nearest(batches):
         weights, centers = sent.value
         for batch in batches:
-            for x in batch.column(0):
-                text, found = x.as_py(), []
-                for counts in itertools.chain([gram_counts(text)], prefix_counts(text)):
-                    if counts is not None:
-                        cosines = centers @ unit(counts, weights)
-                        best = int(np.argmax(cosines))
-                        found.append((best, length_of(counts), float(cosines[best])))
-                if found:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(zip(*found), (pa.int32(), pa.int32(), pa.float64()))],
-                        ["row", "length", "cosine"],
-                    )
+            for start in range(0, batch.num_rows, 256):
+                found: tuple = ([], [], [])
+                for x in batch.column(0).slice(start, 256):
+                    for kept, more in zip(found, prefix_cosines(x.as_py(), weights, centers)):
+                        kept += more
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(found, (pa.int32(), pa.int32(), pa.float64()))],
+                    ["row", "length", "cosine"],
+                )
 
     cosines = stage(learning.select("text").mapInArrow(nearest, "row int, length int, cosine double"), "cosines")
     rows = group_percentiles(cosines, ["row", "length"], ["cosine"], [LOW], LARGE_GROUP).collect()
