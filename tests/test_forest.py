@@ -9,11 +9,13 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from kpiloom.operators import detect, forest
+from kpiloom.registry import QUERIES
 from kpiloom.session import stage
 from kpiloom.sources import sinks
 from tests.conftest import table
 
 NAMES = list("abcdefgh")
+SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="module")
@@ -148,3 +150,9 @@ def test_states_are_not_rows(spark, rows, whole, base):
     """No state of a case is a row of its own, and nothing is gathered by a shuffle."""
     plan = detect.shapley_contributions(whole, rows, NAMES, base[1])._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in plan and "collect_list" not in plan and "hashpartitioning" not in plan
+
+
+def test_shapley_query_draws_all_its_orders(spark):
+    """A single pair of orders has no standard error."""
+    found = QUERIES["shapley_contributions"](spark, SMALL).agg(F.max("standard_error"), F.min("standard_error")).first()
+    assert found[0] > 0 and found[1] >= 0
