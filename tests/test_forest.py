@@ -9,7 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from kpiloom.operators import detect, forest
-from kpiloom.registry import QUERIES
+from kpiloom.registry import QUERIES, incidents
 from kpiloom.session import stage
 from kpiloom.sources import sinks
 from tests.conftest import table
@@ -156,3 +156,12 @@ def test_shapley_query_draws_all_its_orders(spark):
     """A single pair of orders has no standard error."""
     found = QUERIES["shapley_contributions"](spark, SMALL).agg(F.max("standard_error"), F.min("standard_error")).first()
     assert found[0] > 0 and found[1] >= 0
+
+
+def test_sums_of_rows_that_come_twice(spark, rows, whole, base, monkeypatch):
+    some = rows.filter("case_id < 90").withColumnRenamed("case_id", "event_id")
+    twice = stage(some.unionByName(some.filter("event_id % 3 = 0")))
+    monkeypatch.setattr(incidents, "_trained", lambda spark, d: (whole, NAMES, twice))
+    monkeypatch.setattr(incidents, "baselines", lambda spark, d: base[1])
+    n = twice.filter("is_anomaly").count()
+    assert tuple(QUERIES["shapley_sums"](spark, "").first()) == (n, n * len(NAMES), 0)
